@@ -46,17 +46,26 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_CHECKPOINT_DIR: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staging tables.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
     is.  Only when it is unset (tests, local runs) a scratch folder is made.
     """
+    global _LOCAL_CHECKPOINT_DIR
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="loanweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if _LOCAL_CHECKPOINT_DIR is None:
+            _LOCAL_CHECKPOINT_DIR = tempfile.mkdtemp(prefix="loanweave-ckpt-")
+        d = _LOCAL_CHECKPOINT_DIR
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - some sessions reject core confs at runtime
+            pass
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(d)
     return d
