@@ -12,6 +12,8 @@ snapshot row by the data model, so its size is that of one order's lines
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,20 +48,22 @@ def _when(cond: Column, value: Column) -> Column:
     return F.when(cond, value)
 
 
-def _line_payloads(drift_keys: bool) -> dict[str, tuple[Column | None, Column]]:
-    """Payload element per line: name -> (line filter, element struct)."""
-    ship = F.col("l_shipdate")
-    lid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+def _line_payloads(c: Callable[[str], Column], drift_keys: bool
+                   ) -> dict[str, tuple[Column | None, Column]]:
+    """Payload element of one line: name -> (line filter, element struct).
+    ``c(name)`` returns a line field (a column, or a field of a lambda variable)."""
+    ship = c("l_shipdate")
+    lid = F.concat_ws("-", c("l_orderkey"), c("l_linenumber"), c("l_partkey"), c("l_suppkey"),
                       F.date_format(ship, "yyyyMMdd"))
-    supp = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
-    is_f = F.col("l_linestatus") == "F"
-    dec = lambda c: F.col(c).cast("decimal(12,2)")
+    supp = F.concat(F.lit("S"), c("l_suppkey").cast("string"))
+    is_f = c("l_linestatus") == "F"
+    dec = lambda n: c(n).cast("decimal(12,2)")
 
     installment_fields = [
         ("id", lid),
-        ("interest_amount", F.col("l_tax")),
-        ("principal_amount", F.col("l_extendedprice")),
-        ("late_fees_amount", F.col("l_discount")),
+        ("interest_amount", c("l_tax")),
+        ("principal_amount", c("l_extendedprice")),
+        ("late_fees_amount", c("l_discount")),
         ("adjusted_effective_date", _ts(ship)),
         ("original_effective_date", _day(ship)),
     ]
@@ -68,34 +72,34 @@ def _line_payloads(drift_keys: bool) -> dict[str, tuple[Column | None, Column]]:
         installment_fields.append(("currency", F.lit("USD")))
 
     return {
-        "sale_info": (F.col("l_returnflag") == "R", F.struct(
+        "sale_info": (c("l_returnflag") == "R", F.struct(
             lid.alias("uuid"),
             _ts(ship).alias("sale_date"),
             supp.alias("debt_buyer"),
-            F.col("l_partkey").alias("loan_task_id"),
-            F.col("l_discount").alias("percentage_sold"),
-            F.col("l_extendedprice").alias("sale_amount"),
-            F.col("l_tax").alias("sale_fees_amount"),
-            F.col("l_quantity").alias("sale_interest_amount"),
-            F.col("l_extendedprice").alias("sale_principal_amount"),
-            F.col("l_linenumber").alias("debt_sale_file_id"),
+            c("l_partkey").alias("loan_task_id"),
+            c("l_discount").alias("percentage_sold"),
+            c("l_extendedprice").alias("sale_amount"),
+            c("l_tax").alias("sale_fees_amount"),
+            c("l_quantity").alias("sale_interest_amount"),
+            c("l_extendedprice").alias("sale_principal_amount"),
+            c("l_linenumber").alias("debt_sale_file_id"),
             _day(ship).alias("debt_sale_file_date"),
             lid.alias("debt_sale_file_uuid"),
             _when(is_f, _day(_plus_days(ship, 30))).alias("rebuy_date"),
-            _when(is_f, F.col("l_quantity")).alias("rebuy_amount"),
+            _when(is_f, c("l_quantity")).alias("rebuy_amount"),
             _when(is_f, F.lit("reversal")).alias("rebuy_reason"),
             _when(is_f, lid).alias("rebuy_file_uuid"),
             _when(is_f, _ts(_plus_days(ship, 30))).alias("rebuy_transaction_timestamp"),
             F.date_format(ship, "yyyy-MM-dd'T'HH:mm:ss").alias("sale_transaction_timestamp"),
         )),
-        "settlements": (F.col("l_returnflag") == "A", F.struct(
-            F.col("l_extendedprice").alias("amount"),
-            F.col("l_linestatus").alias("status"),
+        "settlements": (c("l_returnflag") == "A", F.struct(
+            c("l_extendedprice").alias("amount"),
+            c("l_linestatus").alias("status"),
             _ts(_plus_days(ship, 30)).alias("end_date"),
             _ts(ship).alias("start_date"),
             F.lit("ach").alias("payment_method"),
             supp.alias("settlement_type"),
-            F.col("l_quantity").alias("number_of_payments"),
+            c("l_quantity").alias("number_of_payments"),
             _ts(ship).alias("transaction_timestamp"),
         )),
         "installments": (None, F.struct(*[c.alias(n) for n, c in installment_fields])),
@@ -104,102 +108,112 @@ def _line_payloads(drift_keys: bool) -> dict[str, tuple[Column | None, Column]]:
             _ts(ship).alias("installment_date"),
             dec("l_tax").alias("original_interest"),
             dec("l_extendedprice").alias("original_principal"),
-            F.col("l_partkey").alias("installment_schedule_id"),
+            c("l_partkey").alias("installment_schedule_id"),
         )),
         "financial_owners": (None, F.struct(
             supp.alias("legal_entity"),
             supp.alias("financial_owner"),
-            F.col("l_returnflag").alias("financial_owner_type"),
+            c("l_returnflag").alias("financial_owner_type"),
             lid.alias("uuid"),
             _ts(ship).alias("financial_owner_eff_date"),
             _when(is_f, _ts(_plus_days(ship, 30))).alias("financial_owner_termination_date"),
             _when(is_f, F.lit("sold")).alias("financial_owner_termination_reason"),
-            F.col("l_linestatus").alias("marketplace_status"),
-            (F.col("l_discount") * 100).cast("decimal(12,2)").alias("marketplace_premium"),
+            c("l_linestatus").alias("marketplace_status"),
+            (c("l_discount") * 100).cast("decimal(12,2)").alias("marketplace_premium"),
             dec("l_extendedprice").alias("marketplace_final_principal_ar"),
             dec("l_quantity").alias("marketplace_final_interest_ar"),
         )),
-        "collection_cases": ((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.struct(
+        "collection_cases": ((c("l_returnflag") == "N") & (c("l_linestatus") == "O"), F.struct(
             lid.alias("case_type"),
             _ts(ship).alias("start_date"),
             _ts(_plus_days(ship, 90)).alias("end_date"),
-            F.concat(F.lit("Agency "), F.col("l_suppkey").cast("string")).alias("agency_name"),
-            F.concat(F.lit("agency"), F.col("l_suppkey").cast("string"),
+            F.concat(F.lit("Agency "), c("l_suppkey").cast("string")).alias("agency_name"),
+            F.concat(F.lit("agency"), c("l_suppkey").cast("string"),
                      F.lit("@example.com")).alias("agency_email"),
-            F.concat(F.lit("555-"), F.col("l_suppkey").cast("string")).alias("agency_phone"),
+            F.concat(F.lit("555-"), c("l_suppkey").cast("string")).alias("agency_phone"),
             _day(ship).alias("poa_effective_date"),
         )),
         "operational_charge_offs": (is_f, F.struct(
             lid.alias("uuid"),
             _ts(ship).alias("charge_off_date"),
-            F.col("l_returnflag").alias("charge_off_reason"),
-            _when(F.col("l_returnflag") == "R", _ts(_plus_days(ship, 60))).alias("forgiveness_date"),
-            F.col("l_quantity").alias("write_off_amount"),
-            F.struct(F.col("l_tax").alias("fees"), F.col("l_discount").alias("interest"),
-                     F.col("l_extendedprice").alias("principal")).alias("charge_off_amount"),
+            c("l_returnflag").alias("charge_off_reason"),
+            _when(c("l_returnflag") == "R", _ts(_plus_days(ship, 60))).alias("forgiveness_date"),
+            c("l_quantity").alias("write_off_amount"),
+            F.struct(c("l_tax").alias("fees"), c("l_discount").alias("interest"),
+                     c("l_extendedprice").alias("principal")).alias("charge_off_amount"),
         )),
-        "treasury_charge_offs": (F.col("l_returnflag") == "R", F.struct(
+        "treasury_charge_offs": (c("l_returnflag") == "R", F.struct(
             lid.alias("uuid"),
             _ts(ship).alias("effective_date"),
-            F.col("l_returnflag").alias("charge_off_reason"),
+            c("l_returnflag").alias("charge_off_reason"),
             _ts(ship).alias("transaction_timestamp"),
             lid.alias("id"),
-            _when(F.col("l_linestatus") == "O", _ts(_plus_days(ship, 5))).alias("reverted_at"),
+            _when(c("l_linestatus") == "O", _ts(_plus_days(ship, 5))).alias("reverted_at"),
             _ts(ship).alias("updated_at"),
             lid.alias("source_uuid"),
             F.lit("order").alias("source_type"),
             is_f.alias("revertible"),
         )),
         "payment_plans": (None, F.struct(
-            F.when(F.col("l_returnflag") == "A", "completed")
-             .when(F.col("l_returnflag") == "R", "terminated")
+            F.when(c("l_returnflag") == "A", "completed")
+             .when(c("l_returnflag") == "R", "terminated")
              .otherwise("active").alias("status"),
             _day(_plus_days(ship, 7)).alias("lock_in_date"),
             dec("l_extendedprice").cast("string").alias("total_amount"),
             dec("l_quantity").alias("payment_amount"),
             _when(is_f, _day(_plus_days(ship, 60))).alias("adjusted_end_date"),
             _day(_plus_days(ship, 30)).alias("first_payment_date"),
-            _when(F.col("l_returnflag") == "R", _day(_plus_days(ship, 45))).alias("early_terminate_date"),
-            _when(F.col("l_linestatus") == "O", _day(_plus_days(ship, 10))).alias("adjusted_lock_in_date"),
+            _when(c("l_returnflag") == "R", _day(_plus_days(ship, 45))).alias("early_terminate_date"),
+            _when(c("l_linestatus") == "O", _day(_plus_days(ship, 10))).alias("adjusted_lock_in_date"),
             is_f.alias("tdr"),
-            F.col("l_partkey").alias("id"),
+            c("l_partkey").alias("id"),
             _day(ship).alias("start_date"),
             _day(_plus_days(ship, 90)).alias("end_date"),
             F.concat(_day(ship), F.lit(" 03:04:05")).alias("created_timestamp"),
             F.element_at(F.array(*[F.lit(p) for p in PLAN_TYPES]),
-                         (F.col("l_linenumber") % 5 + 1).cast("int")).alias("plan_type"),
+                         (c("l_linenumber") % 5 + 1).cast("int")).alias("plan_type"),
             lid.alias("uuid"),
-            F.when(F.col("l_suppkey") % 2 == 0, "monthly").otherwise("biweekly").alias("frequency"),
-            F.col("l_orderkey").alias("contract_id"),
+            F.when(c("l_suppkey") % 2 == 0, "monthly").otherwise("biweekly").alias("frequency"),
+            c("l_orderkey").alias("contract_id"),
             F.concat(_day(ship), F.lit(" 12:00:00")).alias("contract_signed_datetime"),
-            F.col("l_suppkey").alias("created_by_id"),
+            c("l_suppkey").alias("created_by_id"),
             F.concat(_day(_plus_days(ship, 30)), F.lit("|"), _day(_plus_days(ship, 60))).alias("payment_dates"),
-            F.concat(F.lit("v"), (F.col("l_linenumber") % 3).cast("string")).alias("rule_version"),
-            (F.col("l_returnflag") == "N").cast("string").alias("freezes_lateness"),
+            F.concat(F.lit("v"), (c("l_linenumber") % 3).cast("string")).alias("rule_version"),
+            (c("l_returnflag") == "N").cast("string").alias("freezes_lateness"),
             _when(is_f, _day(_plus_days(ship, 120))).alias("lateness_reset_date"),
             F.concat(_day(_plus_days(ship, 1)), F.lit(" 23:30:00")).alias("updated_at"),
         )),
         # Rate schedule lives inside the loan_data object.
         "_rate_schedule": (None, F.struct(
-            F.col("l_tax").cast("decimal(4,2)").cast("string").alias("interest_rate"),
+            c("l_tax").cast("decimal(4,2)").cast("string").alias("interest_rate"),
             _day(ship).alias("effective_date"),
         )),
     }
 
 
-def _sorted_json(elem: Column, cond: Column | None) -> Column:
-    """Aggregate: JSON array of ``elem`` over the group's lines in LINE_ORDER."""
-    keyed = F.struct(F.struct(*LINE_ORDER).alias("k"), elem.alias("v"))
-    if cond is not None:
-        keyed = F.when(cond, keyed)
-    return F.transform(F.sort_array(F.collect_list(keyed)), lambda x: x["v"])
-
-
 def order_payloads(lineitem: DataFrame, drift_keys: bool = False) -> DataFrame:
-    """One row per order key with every line-derived payload (arrays, not text)."""
-    aggs = [_sorted_json(elem, cond).alias(name)
-            for name, (cond, elem) in _line_payloads(drift_keys).items()]
-    return lineitem.groupBy("l_orderkey").agg(*aggs)
+    """One row per order key with every line-derived payload (arrays, not text).
+
+    The order's raw line columns are collected once, in LINE_ORDER, and every
+    payload is derived from that one array with ``filter`` / ``transform``
+    after the shuffle, so the aggregation buffer stays a narrow struct.
+    """
+    grouped = lineitem.groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("lines"))
+
+    def acc(x: Column) -> Callable[[str], Column]:
+        return lambda n: F.col("l_orderkey") if n == "l_orderkey" else x[n]
+
+    def part(name: str, i: int) -> Callable[[Column], Column]:
+        return lambda x: _line_payloads(acc(x), drift_keys)[name][i]
+
+    out = [F.col("l_orderkey")]
+    for name, (cond, _) in _line_payloads(F.col, drift_keys).items():
+        arr = F.col("lines")
+        if cond is not None:
+            arr = F.filter(arr, part(name, 0))
+        out.append(F.transform(arr, part(name, 1)).alias(name))
+    return grouped.select(*out)
 
 
 def user_payloads(events: DataFrame) -> DataFrame:
