@@ -25,8 +25,10 @@ def build_session(master: str | None = None, app_name: str = "loanweave",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Wide rows carry JSON payloads; keep input splits moderate.
+        # Wide rows carry JSON payloads: keep input splits moderate and the
+        # vectorised reader's batches short so a task holds fewer wide texts.
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.parquet.columnarReaderBatchSize": "1024",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
