@@ -396,14 +396,25 @@ def interest_rate_observed(visible_frame: DataFrame) -> DataFrame:
                         F.col("e")["effective_date"].alias("effective_date"))
                .agg(F.count(F.lit(1)).alias("entry_count")))
     versions = visible_frame.groupBy("loan_id").agg(F.count(F.lit(1)).alias("version_count"))
-    j = versions.join(entries, versions.loan_id == entries.json_loan_id, "left")
+    # Inner join for loans with entries: AQE may split a skewed partition on
+    # either side of an inner join (not the optional side of an outer join).
+    with_entries = versions.join(entries, versions.loan_id == entries.json_loan_id, "inner")
+    # Loans without any entry: one NULL rate/date row each.
+    without = versions.join(entries.select("json_loan_id"),
+                            versions.loan_id == entries.json_loan_id, "left_anti")
+    null_s = F.lit(None).cast("string")
+    both = (with_entries.select("loan_id", "interest_rate", "effective_date", "entry_count",
+                                "version_count")
+            .unionByName(without.select("loan_id", null_s.alias("interest_rate"),
+                                        null_s.alias("effective_date"),
+                                        F.lit(0).cast("long").alias("entry_count"),
+                                        "version_count")))
     loan_id = F.col("loan_id")
-    return j.select(
+    return both.select(
         loan_id,
-        *[c for c in _rate_columns(loan_id, F.col("interest_rate"), F.col("effective_date"))],
-        F.coalesce(F.col("entry_count"), F.lit(0)).alias("entry_count"),
-        F.col("version_count"),
-        (F.coalesce(F.col("entry_count"), F.lit(1)) * F.col("version_count")).alias("row_count"),
+        *_rate_columns(loan_id, F.col("interest_rate"), F.col("effective_date")),
+        F.col("entry_count"), F.col("version_count"),
+        (F.greatest(F.col("entry_count"), F.lit(1)) * F.col("version_count")).alias("row_count"),
     )
 
 
