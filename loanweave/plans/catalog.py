@@ -20,12 +20,12 @@ from loanweave.functions.json import (
 )
 from loanweave.functions.keys import hash_concat, surrogate_key
 from loanweave.operators import drift, sink
-from loanweave.operators.snapshot import latest_per_key, non_empty, rename_by_mapping, visible
+from loanweave.operators.snapshot import non_empty, rename_by_mapping, visible
 from loanweave.plans import tables as TB
 from loanweave.session import scratch_path
 from loanweave.sources import contract as C
 from loanweave.sources.fixture import read_table
-from loanweave.sources.snapshot import portfolio_snapshot, read_snapshot
+from loanweave.sources.snapshot import portfolio_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,8 +161,12 @@ def hash_concat_q(spark, sf_dir):
 
 def child_ordinal(spark, sf_dir):
     rows = TB.latest(_snap(spark, sf_dir)).select(
-        "id", F.posexplode(parse_array("installments", C.INSTALLMENTS)).alias("ordinal", "e"))
-    w = Window.partitionBy("id").orderBy(F.col("e")["adjusted_effective_date"], F.col("ordinal"))
+        "loan_id", "id",
+        F.posexplode(parse_array("installments", C.INSTALLMENTS)).alias("ordinal", "e"))
+    # ``id`` is unique within a loan: partitioning by (loan_id, id) is the same
+    # grouping and reuses the latest frame's partitioning (no second shuffle).
+    w = Window.partitionBy("loan_id", "id").orderBy(F.col("e")["adjusted_effective_date"],
+                                                    F.col("ordinal"))
     return rows.select("id", "ordinal", F.col("e")["id"].alias("installment_id"),
                        F.row_number().over(w).alias("date_rank"))
 

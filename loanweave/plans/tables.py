@@ -12,7 +12,7 @@ one scan and one ``latest`` frame can feed every table (see ``plans.mart``).
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -356,15 +356,19 @@ def _rate_columns(loan_id: Column, rate: Column, eff: Column) -> list[Column]:
             loan_id.alias("source_uuid"), F.lit(FLAG_TEXT).alias("cap_flag")]
 
 
+# Snapshot columns published under other names.
+INTEREST_RATE_RENAMES = {"accounts_created_at": "created_time",
+                         "accounts_updated_at": "updated_time",
+                         "accounts_build_end_time": "end_date"}
+
+
 def interest_rate(frame: DataFrame) -> DataFrame:
     """Per-element: the latest version's own schedule, one row per entry, one
     row of NULL rate/date for a loan without schedule."""
     ld = parse_object("loan_data", C.LOAN_DATA)
-    rows = frame.select("loan_id", ld["loan_uuid"].alias("loan_uuid"),
-                        F.col("accounts_created_at").alias("created_time"),
-                        F.col("accounts_updated_at").alias("updated_time"),
-                        F.col("accounts_build_end_time").alias("end_date"),
-                        F.explode_outer(ld["interest_rate_schedule"]).alias("e"))
+    rows = frame.withColumnsRenamed(INTEREST_RATE_RENAMES).select(
+        "loan_id", ld["loan_uuid"].alias("loan_uuid"), "created_time", "updated_time", "end_date",
+        F.explode_outer(ld["interest_rate_schedule"]).alias("e"))
     return rows.select(
         "loan_id", "loan_uuid", "created_time", "updated_time", "end_date",
         *_rate_columns(F.col("loan_id"), F.col("e")["interest_rate"],
@@ -399,9 +403,11 @@ def interest_rate_observed(visible_frame: DataFrame) -> DataFrame:
     # Inner join for loans with entries: AQE may split a skewed partition on
     # either side of an inner join (not the optional side of an outer join).
     with_entries = versions.join(entries, versions.loan_id == entries.json_loan_id, "inner")
-    # Loans without any entry: one NULL rate/date row each.
-    without = versions.join(entries.select("json_loan_id"),
-                            versions.loan_id == entries.json_loan_id, "left_anti")
+    # Loans without any entry: one NULL rate/date row each.  The anti side is
+    # one row per loan, so a loan with many entries never weighs on it.
+    loans_with_entries = entries.select("json_loan_id").distinct()
+    without = versions.join(loans_with_entries,
+                            versions.loan_id == loans_with_entries.json_loan_id, "left_anti")
     null_s = F.lit(None).cast("string")
     both = (with_entries.select("loan_id", "interest_rate", "effective_date", "entry_count",
                                 "version_count")
@@ -425,13 +431,13 @@ def interest_rate_observed_versions(visible_frame: DataFrame) -> DataFrame:
     pooled = (_pooled_schedule(visible_frame).groupBy("json_loan_id")
               .agg(F.count(F.lit(1)).alias("schedule_rows")))
     ld = parse_object("loan_data", _LOAN_IDS)
-    v = visible_frame.select("loan_id", "id", ld["loan_uuid"].alias("loan_uuid"),
-                             F.col("accounts_created_at").alias("created_time"),
-                             F.col("accounts_updated_at").alias("updated_time"),
-                             F.col("accounts_build_end_time").alias("end_date"))
-    j = v.join(pooled, v.loan_id == pooled.json_loan_id, "left")
-    return j.select("loan_id", "id", "loan_uuid", "created_time", "updated_time", "end_date",
-                    F.coalesce(F.col("schedule_rows"), F.lit(0)).alias("schedule_rows"))
+    v = visible_frame.withColumnsRenamed(INTEREST_RATE_RENAMES).select(
+        "loan_id", "id", ld["loan_uuid"].alias("loan_uuid"), "created_time", "updated_time",
+        "end_date")
+    # The left side is one row per version, so a hot loan sits on the side
+    # AQE can split; the right side is one row per loan.
+    j = v.alias("v").join(pooled.alias("p"), F.col("v.loan_id") == F.col("p.json_loan_id"), "left")
+    return j.select("v.*", F.coalesce(F.col("p.schedule_rows"), F.lit(0)).alias("schedule_rows"))
 
 
 # ---------------------------------------------------------------------------
