@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import inspect
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,7 @@ from loanweave.session import prepare_session, scratch_path
 from loanweave.sources import contract, fixture
 
 _INPUTS = ("orders", "customer", "events", "lineitem")
+_STAGING_LOCK = threading.Lock()  # queries on driver threads never stage one path twice
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -57,6 +59,7 @@ def portfolio_snapshot(spark: SparkSession, sf_dir: str, half: str | None = None
     """The snapshot derived from ``sf_dir``, staged on first use."""
     prepare_session(spark)
     path = scratch_path(spark, "snapshots", f"portfolio_{_fingerprint(spark, sf_dir, half)}.parquet")
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_snapshot(fixture.build_snapshot(spark, sf_dir, half), path)
+    with _STAGING_LOCK:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            write_snapshot(fixture.build_snapshot(spark, sf_dir, half), path)
     return read_snapshot(spark, path)
