@@ -22,7 +22,7 @@ from loanweave.functions.keys import hash_concat, surrogate_key
 from loanweave.operators import drift, sink
 from loanweave.operators.snapshot import non_empty, rename_by_mapping, visible
 from loanweave.plans import tables as TB
-from loanweave.session import scratch_path
+from loanweave.session import plan_size_bytes, scratch_path, size_shuffle_partitions
 from loanweave.sources import contract as C
 from loanweave.sources.fixture import read_table
 from loanweave.sources.snapshot import portfolio_snapshot
@@ -31,7 +31,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _snap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portfolio_snapshot(spark, sf_dir)
+    snap = portfolio_snapshot(spark, sf_dir)
+    size_shuffle_partitions(spark, plan_size_bytes(snap))
+    return snap
 
 
 # --------------------------------------------------------------------------- tables

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loanweave.operators import sink
 from loanweave.operators.snapshot import visible
 from loanweave.plans import tables as TB
-from loanweave.session import scratch_path
+from loanweave.session import plan_size_bytes, scratch_path, size_shuffle_partitions
 
 Build = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]  # (snapshot, visible, latest)
 
@@ -84,6 +84,7 @@ def run_mart(spark: SparkSession, snapshot: DataFrame, out_root: str,
              extract_date: dt.date, as_of: dt.datetime | None = None,
              observed: bool = False, shared: bool = True, parallelism: int = 4) -> dict[str, str]:
     """Build and write every table under ``out_root/<table>/extract_date=D``."""
+    size_shuffle_partitions(spark, plan_size_bytes(snapshot))
     lat, staged = stage_latest(spark, snapshot) if shared else (None, None)
     try:
         frames = build_mart(spark, snapshot, observed=observed, latest_frame=lat)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -73,5 +74,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+# Shuffle sizing: in-memory rows of JSON-heavy snapshots are several times
+# their compressed parquet size; aim for ~128 MB shuffle partitions.
+SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
+IN_MEMORY_EXPANSION = 4.0
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
+    """Raise AQE's initial shuffle partition count so partitions stay near
+    SHUFFLE_TARGET_BYTES for an input of ``input_bytes`` (AQE coalesces small
+    partitions afterwards but never splits large ones).  Never lowers a
+    larger setting; returns the count in force."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = math.ceil(input_bytes * IN_MEMORY_EXPANSION / SHUFFLE_TARGET_BYTES)
+    wanted = min(MAX_SHUFFLE_PARTITIONS, max(wanted, spark.sparkContext.defaultParallelism))
+    if wanted > current:
+        spark.conf.set(key, str(wanted))
+        return wanted
+    return current
+
+
+def plan_size_bytes(df) -> int:
+    """Catalyst's size estimate of a frame (file sizes for a scan; metadata only)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_dir(spark), *parts)

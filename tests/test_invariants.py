@@ -66,3 +66,19 @@ def test_drift_reports_added_and_removed_key(spark):
     sd = {(r.kind, r.column): r.status for r in QUERIES["schema_drift"](spark, SF_SMALL).collect()}
     assert sd[("payload", "installments")] == "type_changed"
     assert sd[("column", "*")] == "is_identical"
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from loanweave.session import plan_size_bytes, size_shuffle_partitions
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        assert size_shuffle_partitions(spark, 1) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = size_shuffle_partitions(spark, 100 * 1024 ** 4)  # 100 TB snapshot
+        assert n == 50_000 and spark.conf.get(key) == "50000"
+        assert plan_size_bytes(portfolio_snapshot(spark, SF_SMALL)) > 0
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
