@@ -299,8 +299,8 @@ pl AS (
          """ + _CENTRAL.format("li.l_shipdate + INTERVAL '03:04:05'") + """ AS created_c
   FROM pv JOIN li ON li.l_orderkey = pv.o_orderkey),
 pt AS (SELECT *, plan_type IN ('loan_mod_trial', 'term_extension_trial') AS trial FROM pl)""") + """
-SELECT CAST(pt.o_custkey AS INTEGER) AS loan_id, pt.loan_uuid, pt.o_orderpriority AS payment_method,
-  CAST(pt.o_custkey AS INTEGER) AS customer_id,
+SELECT TRY_CAST(pt.o_custkey AS INTEGER) AS loan_id, pt.loan_uuid, pt.o_orderpriority AS payment_method,
+  TRY_CAST(pt.o_custkey AS INTEGER) AS customer_id,
   CASE WHEN c.c_mktsegment IN ('FURNITURE', 'MACHINERY') THEN 15 ELSE 10 END AS grace_period_days,
   CASE WHEN trial AND st = 'completed' THEN 'locked_in' ELSE st END AS status,
   CAST(l_shipdate + INTERVAL 7 DAY AS DATE) AS lock_in_date,
@@ -313,7 +313,7 @@ SELECT CAST(pt.o_custkey AS INTEGER) AS loan_id, pt.loan_uuid, pt.o_orderpriorit
   CAST(CASE WHEN trial AND st = 'completed' THEN coalesce(adj_end, end_d)
             ELSE adj_lock END AS DATE) AS adjusted_lock_in_date,
   l_linestatus = 'F' AS troubled_debt_restructuring_flag,
-  CAST(l_partkey AS INTEGER) AS loan_payment_plan_id,
+  TRY_CAST(l_partkey AS INTEGER) AS loan_payment_plan_id,
   CASE WHEN plan_type IN ('deferment', 'long_term') THEN CAST(created_c AS DATE)
        ELSE CAST(l_shipdate AS DATE) END AS start_date,
   CASE WHEN NOT trial THEN CAST(end_d AS DATE) END AS end_date,
@@ -322,9 +322,9 @@ SELECT CAST(pt.o_custkey AS INTEGER) AS loan_id, pt.loan_uuid, pt.o_orderpriorit
                  WHEN 'term_extension_trial' THEN 'term_extension' ELSE plan_type END AS structure,
   lid AS loan_payment_plan_uuid,
   CASE WHEN l_suppkey % 2 = 0 THEN 'monthly' ELSE 'biweekly' END AS frequency,
-  CAST(l_orderkey AS INTEGER) AS contract_id,
+  TRY_CAST(l_orderkey AS INTEGER) AS contract_id,
   CAST(l_shipdate AS DATE) AS contract_signed_date,
-  CAST(l_suppkey AS INTEGER) AS created_by_portal_id,
+  TRY_CAST(l_suppkey AS INTEGER) AS created_by_portal_id,
   strftime(l_shipdate + INTERVAL 30 DAY, '%Y-%m-%d') || '|' ||
     strftime(l_shipdate + INTERVAL 60 DAY, '%Y-%m-%d') AS payment_dates_text,
   'v' || (l_linenumber % 3) AS rule_version,
