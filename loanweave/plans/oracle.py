@@ -170,11 +170,6 @@ def _observed(frame: str, cond: str | None, fan: str, index: int, cols: str,
             f"{fan_sql}")
 
 
-def _observed_nonempty(frame: str, cond: str, fan: str, index: int, cols: str) -> str:
-    # Rows whose payload is non-empty: the matching line ``index`` exists.
-    return _observed(frame, cond, fan, index, cols)
-
-
 TABLES: dict[str, str] = {
     "loan_debt_sale": _per_element(COND["sale_info"], _sale("li")),
     "loan_servicing_settlement": _per_element(COND["settlements"],
