@@ -82,3 +82,20 @@ def test_shuffle_partitions_sized_from_input(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def test_half_written_staged_snapshot_is_rebuilt(spark):
+    """A staged snapshot without its _SUCCESS marker (a job lost while
+    writing) is not trusted: it is rebuilt, never read half-written."""
+    import glob
+    import os
+    from loanweave.sources.snapshot import _fingerprint
+    from loanweave.session import scratch_path
+    snap = portfolio_snapshot(spark, SF_SMALL)
+    n = snap.count()
+    path = scratch_path(spark, "snapshots", f"portfolio_{_fingerprint(spark, SF_SMALL, None)}.parquet")
+    os.remove(os.path.join(path, "_SUCCESS"))
+    for f in glob.glob(os.path.join(path, "part-*"))[1:]:
+        os.remove(f)  # leave a partial file set behind
+    assert portfolio_snapshot(spark, SF_SMALL).count() == n
+    assert os.path.exists(os.path.join(path, "_SUCCESS"))
