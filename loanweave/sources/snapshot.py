@@ -37,6 +37,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def _fingerprint(spark: SparkSession, sf_dir: str, half: str | None) -> str:
     h = hashlib.sha256()
     h.update(inspect.getsource(fixture).encode())
+    h.update(inspect.getsource(write_snapshot).encode())
     h.update(repr((sf_dir.rstrip("/"), half)).encode())
     for name in _INPUTS:
         fs, p = _fs_path(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -52,7 +53,17 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
-    df.select(*contract.SNAPSHOT_SCHEMA.fieldNames()).write.mode("overwrite").parquet(path)
+    """Write a snapshot clustered by loan: range-partitioned on
+    (loan_id, published_at) and sorted within files.  The versions of a loan
+    then share a split, so the partial top-1 before the ranking shuffle
+    drops nearly every older version map-side (at sf0.1: 15k of 100k visible
+    rows reach the exchange instead of 68k); the secondary range key spreads
+    a loan with very many versions over several partitions.  Parquet min/max
+    statistics on ``loan_id`` also let readers skip files."""
+    (df.select(*contract.SNAPSHOT_SCHEMA.fieldNames())
+       .repartitionByRange("loan_id", "published_at")
+       .sortWithinPartitions("loan_id", "published_at", "id")
+       .write.mode("overwrite").parquet(path))
 
 
 def portfolio_snapshot(spark: SparkSession, sf_dir: str, half: str | None = None) -> DataFrame:
