@@ -213,3 +213,16 @@ def test_rename_by_mapping(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     out = rename_by_mapping(df, "a\r\nzz", "x\r\ny")
     assert out.columns == ["x", "b"]
+
+
+def test_payload_key_counts_shapes(spark):
+    from loanweave.operators.drift import payload_key_counts
+    df = snap(spark,
+              {"id": "1", "installments": '[{"id":"a","x":1},{"id":"b"}]'},
+              {"id": "2", "installments": '{"id":"c","y":2}'},         # lone object = one element
+              {"id": "3", "installments": '[1, "s", [2], null, {"id":"d"}]'},  # only objects count
+              {"id": "4", "installments": "oops"},
+              {"id": "5", "installments": None},
+              {"id": "6", "installments": "[]"})
+    got = {(r.payload, r.key): r.n for r in payload_key_counts(df, ["installments"]).collect()}
+    assert got == {("installments", "id"): 4, ("installments", "x"): 1, ("installments", "y"): 1}
