@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from loanweave.operators import drift, sink
 from loanweave.plans.mart import run_mart
@@ -25,19 +26,43 @@ def snapshot_file(drop_root: str, day: dt.date, prefix: str = SNAPSHOT_PREFIX) -
     return f"{drop_root.rstrip('/')}/{prefix}{day:%Y_%m_%d}.parquet"
 
 
+def contract_violations(file_schema: T.StructType) -> list[str]:
+    """Contract columns the file lacks or stores with another type (the
+    contract scan would otherwise read them as NULL or fail mid-job)."""
+    have = {f.name: f.dataType for f in file_schema.fields}
+    out = []
+    for f in contract.SNAPSHOT_SCHEMA.fields:
+        if f.name not in have:
+            out.append(f"missing {f.name}")
+        elif have[f.name] != f.dataType:
+            out.append(f"{f.name}: {have[f.name].simpleString()} != {f.dataType.simpleString()}")
+    return out
+
+
 def run_daily(spark: SparkSession, drop_root: str, out_root: str, day: dt.date,
-              as_of: dt.datetime | None = None, observed: bool = False) -> dict:
-    """Returns ``{"status": "waiting"}`` when the day's file has not arrived;
-    otherwise writes the drift report and every table and returns their paths."""
+              as_of: dt.datetime | None = None, observed: bool = False,
+              stop_on_drift: bool = False) -> dict:
+    """Returns ``{"status": "waiting"}`` when the day's file has not arrived,
+    ``"contract_violation"`` when it does not carry the contract columns,
+    ``"schema_changed"`` when ``stop_on_drift`` and its outer schema differs
+    from yesterday's; otherwise writes the drift report and every table and
+    returns their paths."""
     today = snapshot_file(drop_root, day)
     if not path_exists(spark, today):
         return {"status": "waiting", "expected": today}
-    snap = read_snapshot(spark, today)
+    footer = spark.read.parquet(today)
+    problems = contract_violations(footer.schema)
+    if problems:
+        return {"status": "contract_violation", "snapshot": today, "problems": problems}
     result: dict = {"status": "done", "snapshot": today}
     yesterday = snapshot_file(drop_root, day - dt.timedelta(days=1))
     if path_exists(spark, yesterday):
-        report = drift.schema_drift(spark, spark.read.parquet(yesterday), spark.read.parquet(today),
-                                    contract.PAYLOAD_ARRAY_COLUMNS)
+        previous = spark.read.parquet(yesterday)
+        report = drift.schema_drift(spark, previous, footer, contract.PAYLOAD_ARRAY_COLUMNS)
         result["schema_drift"] = sink.write_table(report, out_root, "schema_drift", day, as_of)
+        if stop_on_drift and previous.schema != footer.schema:
+            result["status"] = "schema_changed"
+            return result
+    snap = read_snapshot(spark, today)
     result["tables"] = run_mart(spark, snap, out_root, day, as_of, observed=observed)
     return result

@@ -49,3 +49,25 @@ def test_watch_drops_processes_each_dated_file(spark):
     b = spark.read.parquet(os.path.join(daily_out, "loan_payment_plan")) \
         .drop("extract_timestamp").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_run_daily_contract_and_drift_gates(spark):
+    from pyspark.sql import functions as F
+    root, out = tempfile.mkdtemp(prefix="drops-"), tempfile.mkdtemp(prefix="mart-")
+    snap = build_snapshot(spark, SF_SMALL, "before")
+    write_snapshot(snap, snapshot_file(root, D1))
+    # a day whose file lost a column and gained one
+    bad = snap.drop("payment_plans").withColumn("extra", F.lit(1))
+    bad.write.parquet(snapshot_file(root, D2))
+    r = run_daily(spark, root, out, D2)
+    assert r["status"] == "contract_violation" and r["problems"] == ["missing payment_plans"]
+    # a compatible file whose outer schema differs from yesterday's (the
+    # broken D2 file): the drift report names the column D2 lacked
+    D3 = D2 + dt.timedelta(days=1)
+    snap.withColumn("extra", F.lit(1)).write.parquet(snapshot_file(root, D3))
+    r3 = run_daily(spark, root, out, D3, stop_on_drift=True)
+    assert r3["status"] == "schema_changed" and "tables" not in r3
+    rep = {(r.kind, r.column): r.status for r in spark.read.parquet(r3["schema_drift"]).collect()}
+    assert rep[("column", "payment_plans")] == "added"
+    assert rep[("payload", "payment_plans")] == "added"
+    assert rep[("column", "extra")] == "position_changed"  # payment_plans came back before it
