@@ -17,6 +17,8 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--out", required=True)
     d.add_argument("--date", type=dt.date.fromisoformat, default=dt.date.today())
     d.add_argument("--observed", action="store_true", help="also write the *_observed tables")
+    d.add_argument("--stop-on-drift", action="store_true",
+                   help="do not build the mart when the outer schema differs from yesterday's")
     w = sub.add_parser("watch", help="process snapshot drops as a file stream")
     w.add_argument("--drop", required=True)
     w.add_argument("--out", required=True)
@@ -32,8 +34,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if args.cmd == "daily":
         from loanweave.plans.daily import run_daily
-        print(json.dumps(run_daily(spark, args.drop, args.out, args.date, observed=args.observed),
-                         default=str))
+        print(json.dumps(run_daily(spark, args.drop, args.out, args.date, observed=args.observed,
+                                   stop_on_drift=args.stop_on_drift), default=str))
     elif args.cmd == "watch":
         from loanweave.streaming.drops import watch_drops
         watch_drops(spark, args.drop, args.out, args.checkpoint, args.observed,
