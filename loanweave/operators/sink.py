@@ -12,22 +12,31 @@ from pyspark.sql import functions as F
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+def _wall_clock(ts: dt.datetime) -> Column:
+    """A timestamp_ntz literal of the given wall-clock time (aware values are
+    taken in UTC); built from text so no process or session zone shifts it."""
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def stamp(df: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     """Add ``extract_timestamp`` (a parameter, so reruns are reproducible)."""
-    ts: Column = F.lit(as_of).cast("timestamp_ntz") if as_of else F.localtimestamp()
+    ts = _wall_clock(as_of) if as_of else F.localtimestamp()
     return df.withColumn("extract_timestamp", ts)
 
 
 def write_table(df: DataFrame, root: str, table: str, extract_date: dt.date,
                 as_of: dt.datetime | None = None) -> str:
-    """Write ``root/table/extract_date=D``.  Only that date's partition is
-    replaced (dynamic partition overwrite), earlier dates stay."""
+    """Write ``root/table/extract_date=D`` and return ``root/table``.
+
+    The date's directory is overwritten as a whole, so a rerun replaces that
+    date exactly, also when it now has no rows; other dates stay.  Readers of
+    ``root/table`` get ``extract_date`` back by partition discovery.
+    """
     out = f"{root.rstrip('/')}/{table}"
     (stamp(df, as_of)
-     .withColumn("extract_date", F.lit(extract_date))
      .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-     .partitionBy("extract_date")
-     .parquet(out))
+     .parquet(f"{out}/extract_date={extract_date.isoformat()}"))
     return out

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from loanweave.operators import drift, sink
 from loanweave.plans.mart import run_mart
 from loanweave.sources import contract
-from loanweave.sources.snapshot import path_exists, read_snapshot
+from loanweave.sources.snapshot import read_snapshot, snapshot_ready
 
 # Fixed value: dated snapshot file names, ``<prefix>YYYY_MM_DD.parquet``.
 SNAPSHOT_PREFIX = "portfolio_"
@@ -42,13 +42,14 @@ def contract_violations(file_schema: T.StructType) -> list[str]:
 def run_daily(spark: SparkSession, drop_root: str, out_root: str, day: dt.date,
               as_of: dt.datetime | None = None, observed: bool = False,
               stop_on_drift: bool = False) -> dict:
-    """Returns ``{"status": "waiting"}`` when the day's file has not arrived,
+    """Returns ``{"status": "waiting"}`` when the day's file has not arrived
+    (or, for a directory, its writer has not committed yet),
     ``"contract_violation"`` when it does not carry the contract columns,
     ``"schema_changed"`` when ``stop_on_drift`` and its outer schema differs
     from yesterday's; otherwise writes the drift report and every table and
     returns their paths."""
     today = snapshot_file(drop_root, day)
-    if not path_exists(spark, today):
+    if not snapshot_ready(spark, today):  # absent, or still being written
         return {"status": "waiting", "expected": today}
     footer = spark.read.parquet(today)
     problems = contract_violations(footer.schema)
@@ -56,7 +57,7 @@ def run_daily(spark: SparkSession, drop_root: str, out_root: str, day: dt.date,
         return {"status": "contract_violation", "snapshot": today, "problems": problems}
     result: dict = {"status": "done", "snapshot": today}
     yesterday = snapshot_file(drop_root, day - dt.timedelta(days=1))
-    if path_exists(spark, yesterday):
+    if snapshot_ready(spark, yesterday):
         previous = spark.read.parquet(yesterday)
         report = drift.schema_drift(spark, previous, footer, contract.PAYLOAD_ARRAY_COLUMNS)
         result["schema_drift"] = sink.write_table(report, out_root, "schema_drift", day, as_of)

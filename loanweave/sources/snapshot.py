@@ -34,6 +34,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def snapshot_ready(spark: SparkSession, path: str) -> bool:
+    """A dropped snapshot can be read: a single file that exists, or a
+    directory whose writer has committed (``_SUCCESS`` present)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return False
+    if fs.getFileStatus(p).isDirectory():
+        return bool(fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    return True
+
+
 def _fingerprint(spark: SparkSession, sf_dir: str, half: str | None) -> str:
     h = hashlib.sha256()
     h.update(inspect.getsource(fixture).encode())

@@ -1,9 +1,9 @@
 """Snapshot drops as a Structured Streaming source.
 
 Instead of polling for the day's file, the drop folder is a file stream:
-newly arrived snapshot files form a micro-batch, each row tagged with the
-date in its folder name, and ``foreachBatch`` runs the whole mart once per
-date present in the batch.  The stream's checkpoint records which files were consumed and the
+newly arrived snapshot files form a micro-batch, and ``foreachBatch`` rebuilds
+the mart for every dated snapshot folder the batch touched, reading that
+folder whole.  The stream's checkpoint records which files were consumed and the
 sink overwrites only the batch's ``extract_date`` partitions, so a replay
 after a lost executor or driver rewrites the same partitions.
 """
@@ -19,36 +19,44 @@ from pyspark.sql.streaming import StreamingQuery
 from loanweave.plans.mart import run_mart
 from loanweave.session import scratch_path
 from loanweave.sources import contract
+from loanweave.sources.snapshot import read_snapshot
 
 # Fixed value: the date inside a dropped snapshot's folder name.
 DATE_IN_PATH = r"_(\d{4})_(\d{2})_(\d{2})\.parquet"
+SNAPSHOT_DIR = r"^(.*_\d{4}_\d{2}_\d{2}\.parquet)/"
 
 
 def drop_stream(spark: SparkSession, drop_root: str) -> DataFrame:
-    """Rows of every snapshot file under ``drop_root`` tagged with its date."""
+    """Rows of every snapshot file under ``drop_root`` tagged with the
+    snapshot folder they belong to and its date."""
     path = F.input_file_name()
     day = F.to_date(F.concat_ws("-", F.regexp_extract(path, DATE_IN_PATH, 1),
                                 F.regexp_extract(path, DATE_IN_PATH, 2),
                                 F.regexp_extract(path, DATE_IN_PATH, 3)))
     return (spark.readStream.schema(contract.SNAPSHOT_SCHEMA)
             .parquet(f"{drop_root.rstrip('/')}/*.parquet")
-            .withColumn("_snapshot_date", day))
+            .withColumn("_snapshot_date", day)
+            .withColumn("_snapshot_dir", F.regexp_extract(path, SNAPSHOT_DIR, 1)))
 
 
 def watch_drops(spark: SparkSession, drop_root: str, out_root: str,
                 checkpoint: str | None = None, observed: bool = False,
                 available_now: bool = True) -> StreamingQuery:
     """Start the watcher; with ``available_now`` it processes what has
-    arrived and stops (a scheduled run), otherwise it keeps watching."""
+    arrived and stops (a scheduled run), otherwise it keeps watching.
+
+    A batch only says which snapshot folders received files.  Each of them
+    is then read whole and its date rebuilt, so a snapshot whose files
+    arrive over several batches ends up complete, never as the last part.
+    """
     checkpoint = checkpoint or scratch_path(spark, "streams", "snapshot_drops")
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # One row per dated file in the batch: a handful of dates, never data.
-        days = [r[0] for r in batch.select("_snapshot_date").distinct().collect()]
-        for day in sorted(d for d in days if d is not None):
-            snap = batch.filter(F.col("_snapshot_date") == F.lit(day)).drop("_snapshot_date")
-            run_mart(spark, snap, out_root, day, dt.datetime.combine(day, dt.time()),
-                     observed=observed)
+        # One row per touched folder: a handful of names, never data.
+        touched = batch.select("_snapshot_dir", "_snapshot_date").distinct().collect()
+        for folder, day in sorted((r[0], r[1]) for r in touched if r[0] and r[1]):
+            run_mart(spark, read_snapshot(spark, folder), out_root, day,
+                     dt.datetime.combine(day, dt.time()), observed=observed)
 
     writer = drop_stream(spark, drop_root).writeStream.foreachBatch(per_batch) \
         .option("checkpointLocation", checkpoint)
