@@ -45,14 +45,19 @@ def main() -> None:
 
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         runs = []
-        for _ in range(2):  # first run pays JIT / codegen warm-up; report both
-            t = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t)
+        try:
+            for _ in range(2):  # first run pays JIT / codegen warm-up; report both
+                t = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t)
+        except Exception as e:  # noqa: BLE001 - record and go on; one line is still printed
+            errors[name] = str(e).splitlines()[0][:300]
+            continue
         cold[name] = round(runs[0], 3)
         times[name] = round(min(runs), 3)
 
@@ -62,8 +67,12 @@ def main() -> None:
         for label, shared in (("mart_shared_latest", True), ("mart_latest_per_table", False)):
             out = scratch_path(spark, "bench_out", label)
             t = time.perf_counter()
-            run_mart(spark, snap, out, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2),
-                     observed=True, shared=shared)
+            try:
+                run_mart(spark, snap, out, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2),
+                         observed=True, shared=shared)
+            except Exception as e:  # noqa: BLE001
+                errors[label] = str(e).splitlines()[0][:300]
+                continue
             mart[label] = round(time.perf_counter() - t, 3)
 
     total = round(sum(times.values()), 3)
@@ -72,7 +81,7 @@ def main() -> None:
         "queries": {**times, **mart}, "queries_cold": cold,
         "cold_total": round(sum(cold.values()), 3), "snapshot_stage": round(stage, 3),
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "cpus": cpus,
-        "n_queries": len(times)}))
+        "n_queries": len(times), "errors": errors}))
     spark.stop()
 
 
