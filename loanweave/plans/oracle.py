@@ -25,9 +25,14 @@ li AS (
          concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
                    strftime(l_shipdate, '%Y%m%d')) AS lid,
          'S' || l_suppkey AS supp,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-                            l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax,
-                            l_returnflag, l_linestatus) AS pos
+         -- the fixture writes ship times as whole seconds or as days
+         date_trunc('second', l_shipdate) AS ship_s,
+         CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS ship_d,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY
+             l_linenumber NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
+             l_shipdate NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST,
+             l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST,
+             l_linestatus NULLS FIRST) AS pos
   FROM lineitem)"""
 
 _EVENTS = """
@@ -50,22 +55,27 @@ def _ranked(name: str, cond: str) -> str:
            FROM li WHERE {cond})"""
 
 
-def _days(a: str, n: int) -> str:
-    return f"{a}.l_shipdate + INTERVAL {n} DAY"
+def _days(a: str, n: int, base: str = "ship_s") -> str:
+    return f"{a}.{base} + INTERVAL {n} DAY"
+
+
+def _dec(expr: str, spec: str) -> str:
+    """Double -> decimal as Spark does it: round half-up on the shortest text."""
+    return f"CAST(CAST({expr} AS VARCHAR) AS DECIMAL({spec}))"
 
 
 # --------------------------------------------------------------------- table columns
 
 def _sale(a: str) -> str:
     f = f"{a}.l_linestatus = 'F'"
-    return f"""{a}.l_shipdate AS created_time, {a}.l_shipdate AS sale_date,
+    return f"""{a}.ship_s AS created_time, {a}.ship_s AS sale_date,
   {a}.supp AS debt_buyer_name, CAST({a}.l_partkey AS VARCHAR) AS loan_task_id,
   {a}.l_discount AS percentage_sold, {a}.l_extendedprice AS sale_amount,
   {a}.l_tax AS sale_fees_amount, {a}.l_quantity AS sale_interest_amount,
   {a}.l_extendedprice AS sale_principal_amount,
-  CAST({a}.l_linenumber AS VARCHAR) AS debt_sale_file_id, {a}.l_shipdate AS debt_sale_file_date,
+  CAST({a}.l_linenumber AS VARCHAR) AS debt_sale_file_id, {a}.ship_d AS debt_sale_file_date,
   {a}.lid AS debt_sale_file_uuid,
-  CASE WHEN {f} THEN {_days(a, 30)} END AS rebuy_date,
+  CASE WHEN {f} THEN {_days(a, 30, "ship_d")} END AS rebuy_date,
   CASE WHEN {f} THEN {a}.l_quantity END AS rebuy_amount,
   CASE WHEN {f} THEN 'reversal' END AS rebuy_reason,
   CASE WHEN {f} THEN {a}.lid END AS rebuy_file_uuid,
@@ -75,44 +85,44 @@ def _sale(a: str) -> str:
 
 def _settlement(a: str, loan: str) -> str:
     return f"""{a}.l_extendedprice AS total_amount, {a}.l_linestatus AS status,
-  {_days(a, 30)} AS end_date, {a}.l_shipdate AS start_date,
+  {_days(a, 30)} AS end_date, {a}.ship_s AS start_date,
   CASE WHEN {a}.l_orderkey IS NOT NULL THEN 'ach' END AS payment_method,
-  {a}.supp AS structure, {a}.l_quantity AS payment_count, {a}.l_shipdate AS created_time,
-  sha256(concat_ws('', {loan}, {a}.l_shipdate)) AS loan_servicing_settlement_uuid"""
+  {a}.supp AS structure, {a}.l_quantity AS payment_count, {a}.ship_s AS created_time,
+  sha256(concat_ws('', {loan}, {a}.ship_s)) AS loan_servicing_settlement_uuid"""
 
 
 def _installment(a: str, key: str) -> str:
     return f"""{a}.lid AS active_installment_id, {a}.l_tax AS interest_amount,
   {a}.l_extendedprice AS principal_amount, {a}.l_discount AS late_fees_amount,
-  {a}.l_shipdate AS adjusted_effective_date, {a}.l_shipdate AS original_effective_date,
+  {a}.ship_s AS adjusted_effective_date, {a}.ship_d AS original_effective_date,
   sha256({key}) AS active_installment_uuid"""
 
 
 def _collection(a: str, loan: str) -> str:
-    return f"""{a}.lid AS case_type, {a}.l_shipdate AS start_date, {_days(a, 90)} AS end_date,
+    return f"""{a}.lid AS case_type, {a}.ship_s AS start_date, {_days(a, 90)} AS end_date,
   'Agency ' || {a}.l_suppkey AS collection_agency_name,
   'agency' || {a}.l_suppkey || '@example.com' AS collection_agency_email,
   '555-' || {a}.l_suppkey AS collection_agency_phone,
-  {a}.l_shipdate AS poa_effective_date,
-  sha256(concat_ws('', {loan}, {a}.l_shipdate)) AS loan_collection_case_uuid"""
+  {a}.ship_d AS poa_effective_date,
+  sha256(concat_ws('', {loan}, {a}.ship_s)) AS loan_collection_case_uuid"""
 
 
 def _owner(a: str, loan: str, money: str) -> str:
     f = f"{a}.l_linestatus = 'F'"
     return f"""{a}.supp AS legal_entity, {a}.supp AS financial_owner_name,
   {a}.l_returnflag AS financial_owner_type, {a}.lid AS financial_owner_uuid,
-  {a}.l_shipdate AS effective_date,
+  {a}.ship_s AS effective_date,
   CASE WHEN {f} THEN {_days(a, 30)} END AS termination_date,
   CASE WHEN {f} THEN 'sold' END AS termination_reason,
   {a}.l_linestatus AS marketplace_status,
-  CAST(CAST({a}.l_discount * 100 AS DECIMAL(12,2)) AS {money}) AS marketplace_premium,
-  CAST(CAST({a}.l_extendedprice AS DECIMAL(12,2)) AS {money}) AS marketplace_final_principal_ar_amount,
-  CAST(CAST({a}.l_quantity AS DECIMAL(12,2)) AS {money}) AS marketplace_final_interest_ar_amount,
-  sha256(concat_ws('', {loan}, {a}.l_shipdate, {a}.supp)) AS loan_financial_owner_uuid"""
+  CAST({_dec(f"{a}.l_discount * 100", "12,2")} AS {money}) AS marketplace_premium,
+  CAST({_dec(f"{a}.l_extendedprice", "12,2")} AS {money}) AS marketplace_final_principal_ar_amount,
+  CAST({_dec(f"{a}.l_quantity", "12,2")} AS {money}) AS marketplace_final_interest_ar_amount,
+  sha256(concat_ws('', {loan}, {a}.ship_s, {a}.supp)) AS loan_financial_owner_uuid"""
 
 
 def _operational(a: str, snap: str) -> str:
-    return f"""{a}.lid AS operational_charge_off_uuid, {a}.l_shipdate AS charge_off_date,
+    return f"""{a}.lid AS operational_charge_off_uuid, {a}.ship_s AS charge_off_date,
   {a}.l_returnflag AS charge_off_reason, 'A' || {snap}.o_custkey AS servicing_account_id,
   CASE WHEN {a}.l_returnflag = 'R' THEN {_days(a, 60)} END AS forgiveness_date,
   {a}.l_quantity AS write_off_amount, {a}.l_tax AS charge_off_fees_amount,
@@ -120,19 +130,19 @@ def _operational(a: str, snap: str) -> str:
 
 
 def _original(a: str, key: str, money: str) -> str:
-    return f"""{a}.lid AS original_installment_id, {a}.l_shipdate AS installment_date,
-  CAST(CAST({a}.l_tax AS DECIMAL(12,2)) AS {money}) AS interest_amount,
-  CAST(CAST({a}.l_extendedprice AS DECIMAL(12,2)) AS {money}) AS principal_amount,
+    return f"""{a}.lid AS original_installment_id, {a}.ship_s AS installment_date,
+  CAST({_dec(f"{a}.l_tax", "12,2")} AS {money}) AS interest_amount,
+  CAST({_dec(f"{a}.l_extendedprice", "12,2")} AS {money}) AS principal_amount,
   CAST({a}.l_partkey AS VARCHAR) AS installment_schedule_id,
   sha256({key}) AS original_installment_uuid"""
 
 
 def _treasury(a: str, snap: str) -> str:
     return f"""{a}.lid AS treasury_charge_off_uuid, 'A' || {snap}.o_custkey AS servicing_account_id,
-  {a}.l_shipdate AS effective_date, {a}.l_returnflag AS charge_off_reason,
-  {a}.l_shipdate AS created_time, {a}.lid AS treasury_charge_off_id,
+  {a}.ship_s AS effective_date, {a}.l_returnflag AS charge_off_reason,
+  {a}.ship_s AS created_time, {a}.lid AS treasury_charge_off_id,
   CASE WHEN {a}.l_linestatus = 'O' THEN {_days(a, 5)} END AS reverted_time,
-  {a}.l_shipdate AS updated_time, {a}.lid AS source_uuid,
+  {a}.ship_s AS updated_time, {a}.lid AS source_uuid,
   CASE WHEN {a}.l_orderkey IS NOT NULL THEN 'order' END AS source_type,
   {a}.l_linestatus = 'F' AS revertible_flag"""
 
@@ -204,22 +214,33 @@ OBSERVED: dict[str, str] = {
         "lat", COND["treasury_charge_offs"], "none", 1, _treasury("a", "f"), keep_all=True),
 }
 
+def _first(status: str, as_type: str) -> str:
+    """Earliest time of the day's events with ``status``; NULL when one of
+    them has no time (the minimum is then undefined, as on the Spark side)."""
+    m = f"min(ts) FILTER (WHERE status = '{status}')"
+    if as_type == "DATE":
+        m = f"CAST({m} AS DATE)"
+    else:
+        m = f"strftime({m}, '%Y-%m-%d %H:%M:%S.%f')"
+    return f"CASE WHEN bool_or(status = '{status}' AND ts IS NULL) THEN NULL ELSE {m} END"
+
+
 # Loans with bankruptcy payloads are those whose customer has events.
 TABLES["bankruptcy"] = _with(_BASE, _EVENTS, """
 lastev AS (SELECT user_id, day, chapter, status FROM ev
-           QUALIFY row_number() OVER (PARTITION BY user_id, day
-                                      ORDER BY ts DESC, status DESC, chapter DESC) = 1),
+           QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC NULLS LAST,
+                                      status DESC NULLS LAST, chapter DESC NULLS LAST) = 1),
 days AS (SELECT user_id, day,
-                CAST(min(ts) FILTER (WHERE event_type = 'error') AS DATE) AS petitioned_date,
-                CAST(min(ts) FILTER (WHERE event_type = 'purchase') AS DATE) AS discharged_date,
-                row_number() OVER (PARTITION BY user_id ORDER BY day) - 1 AS ordinal
+                """ + _first("petitioned", "DATE") + """ AS petitioned_date,
+                """ + _first("discharged", "DATE") + """ AS discharged_date,
+                row_number() OVER (PARTITION BY user_id ORDER BY day NULLS FIRST) - 1 AS ordinal
          FROM ev GROUP BY user_id, day)""") + """
 SELECT lat.loan_id, lat.loan_uuid, CAST(NULL AS VARCHAR) AS claimed_date,
        d.petitioned_date, d.discharged_date,
        sha256(concat_ws('', lat.loan_id, 'timeline', d.ordinal)) AS bankruptcy_uuid,
        l.chapter, l.status
 FROM lat JOIN days d ON d.user_id = lat.o_custkey
-JOIN lastev l ON l.user_id = d.user_id AND l.day = d.day
+JOIN lastev l ON l.user_id = d.user_id AND l.day IS NOT DISTINCT FROM d.day
 UNION ALL
 SELECT lat.loan_id, lat.loan_uuid, strftime(e.ts, '%Y-%m-%d') AS claimed_date,
        CAST(NULL AS DATE) AS petitioned_date, CAST(NULL AS DATE) AS discharged_date,
@@ -229,9 +250,11 @@ FROM lat JOIN ev e ON e.user_id = lat.o_custkey AND e.event_type = 'signup'"""
 
 OBSERVED["bankruptcy_observed"] = _with(_BASE, _EVENTS, """
 cl AS (SELECT user_id, ts, event_id, chapter, strftime(ts, '%Y-%m-%d') AS eff,
-              row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k
+              row_number() OVER (PARTITION BY user_id
+                                 ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS k
        FROM ev WHERE event_type = 'signup'),
-agg AS (SELECT user_id, string_agg(eff, '' ORDER BY ts, event_id) AS all_dates
+agg AS (SELECT user_id, string_agg(eff, '' ORDER BY ts NULLS FIRST, event_id NULLS FIRST)
+               AS all_dates
         FROM cl GROUP BY user_id)""") + """
 SELECT lat.loan_id, lat.loan_uuid, f.eff AS claimed_date,
        CAST(NULL AS DATE) AS petitioned_date, CAST(NULL AS DATE) AS discharged_date,
@@ -242,7 +265,7 @@ JOIN cl f ON f.user_id = lat.o_custkey AND f.k = 1
 JOIN cl m ON m.user_id = lat.o_custkey"""
 
 _RATE = """
-ir AS (SELECT l_orderkey, CAST(CAST(l_tax AS DECIMAL(4,2)) AS VARCHAR) AS interest_rate,
+ir AS (SELECT l_orderkey, CAST(""" + _dec("l_tax", "4,2") + """ AS VARCHAR) AS interest_rate,
               strftime(l_shipdate, '%Y-%m-%d') AS effective_date FROM li)"""
 
 
@@ -291,7 +314,7 @@ pl AS (
          CASE WHEN li.l_returnflag = 'R' THEN li.l_shipdate + INTERVAL 45 DAY END AS early_term,
          li.l_shipdate + INTERVAL 90 DAY AS end_d,
          CASE WHEN li.l_linestatus = 'O' THEN li.l_shipdate + INTERVAL 10 DAY END AS adj_lock,
-         """ + _CENTRAL.format("li.l_shipdate + INTERVAL '03:04:05'") + """ AS created_c
+         """ + _CENTRAL.format("li.ship_d + INTERVAL '03:04:05'") + """ AS created_c
   FROM pv JOIN li ON li.l_orderkey = pv.o_orderkey),
 pt AS (SELECT *, plan_type IN ('loan_mod_trial', 'term_extension_trial') AS trial FROM pl)""") + """
 SELECT TRY_CAST(pt.o_custkey AS INTEGER) AS loan_id, pt.loan_uuid, pt.o_orderpriority AS payment_method,
@@ -299,8 +322,8 @@ SELECT TRY_CAST(pt.o_custkey AS INTEGER) AS loan_id, pt.loan_uuid, pt.o_orderpri
   CASE WHEN c.c_mktsegment IN ('FURNITURE', 'MACHINERY') THEN 15 ELSE 10 END AS grace_period_days,
   CASE WHEN trial AND st = 'completed' THEN 'locked_in' ELSE st END AS status,
   CAST(l_shipdate + INTERVAL 7 DAY AS DATE) AS lock_in_date,
-  CAST(l_extendedprice AS DECIMAL(12,2)) AS total_amount,
-  CAST(l_quantity AS DECIMAL(12,2)) AS payment_amount,
+  """ + _dec("l_extendedprice", "12,2") + """ AS total_amount,
+  """ + _dec("l_quantity", "12,2") + """ AS payment_amount,
   CAST(CASE WHEN trial AND st = 'terminated' THEN early_term
             WHEN NOT trial THEN coalesce(adj_end, early_term, end_d) END AS DATE) AS adjusted_end_date,
   CAST(l_shipdate + INTERVAL 30 DAY AS DATE) AS first_payment_date,
@@ -329,7 +352,7 @@ SELECT TRY_CAST(pt.o_custkey AS INTEGER) AS loan_id, pt.loan_uuid, pt.o_orderpri
     AS lateness_reset_date,
   l_returnflag = 'N' AS freezes_lateness_flag,
   pt.o_orderdate AS etl_ingestion_time, pt.o_orderdate AS source_file_creation_time,
-  """ + _CENTRAL.format("l_shipdate + INTERVAL 1 DAY + INTERVAL '23:30:00'") + """ AS updated_time
+  """ + _CENTRAL.format("ship_d + INTERVAL 1 DAY + INTERVAL '23:30:00'") + """ AS updated_time
 FROM pt LEFT JOIN customer c ON c.c_custkey = pt.o_custkey"""
 
 
@@ -370,18 +393,22 @@ SELECT o.sid AS id, CAST(count(*) OVER (PARTITION BY li.l_orderkey) AS INTEGER)
 FROM o JOIN li ON li.l_orderkey = o.o_orderkey""",
     "json_array_rows": _with(_BASE) + """
 SELECT v.sid AS id, li.lid AS installment_id, li.l_extendedprice AS principal_amount,
-       li.l_shipdate AS adjusted_effective_date
+       li.ship_s AS adjusted_effective_date
 FROM vis v JOIN li ON li.l_orderkey = v.o_orderkey""",
     "array_nth": _with(_BASE) + """
 SELECT o.sid AS id, li.lid AS second_id
 FROM o LEFT JOIN li ON li.l_orderkey = o.o_orderkey AND li.pos = 2""",
     "json_path": """
-SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
+SELECT event_id,
+       TRY_CAST(trunc(TRY_CAST(json_extract_string(CASE WHEN json_valid(props) THEN props END,
+                                                   '$.k') AS DOUBLE)) AS INTEGER) AS k
+FROM events""",
     "json_array_or_object": """
 SELECT 'event' AS source, CAST(event_id AS VARCHAR) AS key,
-       CASE json_type(props) WHEN 'OBJECT' THEN 1
-                             WHEN 'ARRAY' THEN CAST(json_array_length(props) AS INTEGER)
-                             ELSE 0 END AS n_elements
+       CASE json_type(CASE WHEN json_valid(props) THEN props END)
+            WHEN 'OBJECT' THEN 1
+            WHEN 'ARRAY' THEN CAST(json_array_length(props) AS INTEGER)
+            ELSE 0 END AS n_elements
 FROM events
 UNION ALL
 SELECT 'snapshot' AS source, CAST(o_orderkey AS VARCHAR) AS key,
@@ -399,12 +426,13 @@ SELECT o_orderkey,
 FROM orders""",
     "child_ordinal": _with(_BASE) + """
 SELECT lat.sid AS id, CAST(li.pos - 1 AS INTEGER) AS ordinal, li.lid AS installment_id,
-       CAST(row_number() OVER (PARTITION BY li.l_orderkey ORDER BY li.l_shipdate, li.pos)
+       CAST(row_number() OVER (PARTITION BY li.l_orderkey ORDER BY li.ship_s NULLS FIRST, li.pos)
             AS INTEGER) AS date_rank
 FROM lat JOIN li ON li.l_orderkey = lat.o_orderkey""",
     "typed_casts": """
 SELECT p_partkey, TRY_CAST(p_brand AS INTEGER) AS brand_as_int, p_size AS size_as_int,
-       p_size AS size_fraction_as_int, CAST(p_retailprice AS DECIMAL(12,2)) AS price_as_decimal,
+       p_size AS size_fraction_as_int,
+       """ + _dec("p_retailprice", "12,2") + """ AS price_as_decimal,
        TRY_CAST('1998-01-' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS DATE) AS day_as_date,
        CASE WHEN p_size % 3 = 0 THEN true WHEN p_size % 3 = 1 THEN false
             ELSE TRY_CAST(p_type AS BOOLEAN) END AS flag_as_bool
@@ -416,13 +444,10 @@ SELECT event_id, ts, timezone('America/Chicago', timezone('UTC', ts)) AS central
 SELECT o.o_orderkey, o.o_orderdate, f.first_ship_date
 FROM orders o LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS first_ship_date
                          FROM lineitem GROUP BY l_orderkey) f ON f.l_orderkey = o.o_orderkey""",
-    "first_event_dates": _with(_BASE) + """
-SELECT lat.loan_id,
-       strftime(min(e.ts) FILTER (WHERE e.event_type = 'error'), '%Y-%m-%d %H:%M:%S.%f')
-         AS first_petitioned,
-       strftime(min(e.ts) FILTER (WHERE e.event_type = 'purchase'), '%Y-%m-%d %H:%M:%S.%f')
-         AS first_discharged
-FROM lat JOIN events e ON e.user_id = lat.o_custkey
+    "first_event_dates": _with(_BASE, _EVENTS) + """
+SELECT lat.loan_id, """ + _first("petitioned", "TEXT") + """ AS first_petitioned,
+       """ + _first("discharged", "TEXT") + """ AS first_discharged
+FROM lat JOIN ev ON ev.user_id = lat.o_custkey
 GROUP BY lat.loan_id""",
 }
 
@@ -437,7 +462,9 @@ OPERATORS["sink_roundtrip"] = (
 
 # Keys of each payload element as the fixture writes them: name -> (line
 # filter, [(key, condition under which it is present)]).  NULL values are
-# not written, so conditional fields count only where they hold.
+# not written, so conditional fields count only where they hold.  The
+# unconditional keys assume non-NULL source columns, which the driver's
+# tables have; a NULL source column would omit its key on the Spark side.
 _F, _O, _R = "l_linestatus = 'F'", "l_linestatus = 'O'", "l_returnflag = 'R'"
 _PAYLOAD_KEYS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "sale_info": (COND["sale_info"], [
@@ -499,11 +526,12 @@ def _key_drift_sql() -> str:
                  "FROM os JOIN (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) e "
                  "ON e.user_id = os.o_custkey")
     for key in ("status", "chapter", "effective_date"):
+        present = " AND e.ts IS NOT NULL" if key == "effective_date" else ""
         parts.append(f"SELECT 'bankruptcy_claims', '{key}', "
                      "count(*) FILTER (WHERE before_split), "
                      "count(*) FILTER (WHERE NOT before_split) "
                      "FROM os JOIN events e ON e.user_id = os.o_custkey "
-                     "AND e.event_type = 'signup'")
+                     f"AND e.event_type = 'signup'{present}")
     return ("WITH os AS (SELECT o_orderkey, o_custkey, "
             "o_orderdate < TIMESTAMP '1998-01-01' AS before_split FROM orders),\n"
             "ol AS (SELECT os.before_split, l.* FROM os JOIN lineitem l "
