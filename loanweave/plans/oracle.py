@@ -462,9 +462,8 @@ OPERATORS["sink_roundtrip"] = (
 
 # Keys of each payload element as the fixture writes them: name -> (line
 # filter, [(key, condition under which it is present)]).  NULL values are
-# not written, so conditional fields count only where they hold.  The
-# unconditional keys assume non-NULL source columns, which the driver's
-# tables have; a NULL source column would omit its key on the Spark side.
+# not written, so conditional fields count only where they hold (and only
+# where their source column is set, see _KEY_SOURCE).
 _F, _O, _R = "l_linestatus = 'F'", "l_linestatus = 'O'", "l_returnflag = 'R'"
 _PAYLOAD_KEYS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "sale_info": (COND["sale_info"], [
@@ -511,11 +510,62 @@ _PAYLOAD_KEYS: dict[str, tuple[str, list[tuple[str, str]]]] = {
 }
 
 
+# The line column each key is rendered from: ``to_json`` leaves a key out
+# when its value is NULL, so it counts only where that column is set.
+_SHIP, _SUPP, _DISC, _EXT, _QTY, _TAX = ("l_shipdate", "l_suppkey", "l_discount",
+                                         "l_extendedprice", "l_quantity", "l_tax")
+_KEY_SOURCE: dict[str, dict[str, str]] = {
+    "sale_info": {
+        "sale_date": _SHIP, "debt_buyer": _SUPP, "loan_task_id": "l_partkey",
+        "percentage_sold": _DISC, "sale_amount": _EXT, "sale_fees_amount": _TAX,
+        "sale_interest_amount": _QTY, "sale_principal_amount": _EXT,
+        "debt_sale_file_id": "l_linenumber", "debt_sale_file_date": _SHIP, "rebuy_date": _SHIP,
+        "rebuy_amount": _QTY, "rebuy_transaction_timestamp": _SHIP,
+        "sale_transaction_timestamp": _SHIP},
+    "settlements": {
+        "amount": _EXT, "status": "l_linestatus", "end_date": _SHIP, "start_date": _SHIP,
+        "settlement_type": _SUPP, "number_of_payments": _QTY, "transaction_timestamp": _SHIP},
+    "installments": {
+        "interest_amount": _TAX, "principal_amount": _EXT, "late_fees_amount": _DISC,
+        "adjusted_effective_date": _SHIP, "original_effective_date": _SHIP},
+    "original_installments": {
+        "installment_date": _SHIP, "original_interest": _TAX, "original_principal": _EXT,
+        "installment_schedule_id": "l_partkey"},
+    "financial_owners": {
+        "legal_entity": _SUPP, "financial_owner": _SUPP,
+        "financial_owner_type": "l_returnflag", "financial_owner_eff_date": _SHIP,
+        "financial_owner_termination_date": _SHIP, "marketplace_status": "l_linestatus",
+        "marketplace_premium": _DISC, "marketplace_final_principal_ar": _EXT,
+        "marketplace_final_interest_ar": _QTY},
+    "collection_cases": {
+        "start_date": _SHIP, "end_date": _SHIP, "agency_name": _SUPP, "agency_email": _SUPP,
+        "agency_phone": _SUPP, "poa_effective_date": _SHIP},
+    "operational_charge_offs": {
+        "charge_off_date": _SHIP, "charge_off_reason": "l_returnflag",
+        "forgiveness_date": _SHIP, "write_off_amount": _QTY},
+    "treasury_charge_offs": {
+        "effective_date": _SHIP, "transaction_timestamp": _SHIP, "reverted_at": _SHIP,
+        "updated_at": _SHIP, "revertible": "l_linestatus"},
+    "payment_plans": {
+        "lock_in_date": _SHIP, "total_amount": _EXT, "payment_amount": _QTY,
+        "adjusted_end_date": _SHIP, "first_payment_date": _SHIP, "early_terminate_date": _SHIP,
+        "adjusted_lock_in_date": _SHIP, "tdr": "l_linestatus", "id": "l_partkey",
+        "start_date": _SHIP, "end_date": _SHIP, "created_timestamp": _SHIP,
+        "plan_type": "l_linenumber", "contract_id": "l_orderkey",
+        "contract_signed_datetime": _SHIP, "created_by_id": _SUPP, "payment_dates": _SHIP,
+        "rule_version": "l_linenumber", "freezes_lateness": "l_returnflag",
+        "lateness_reset_date": _SHIP, "updated_at": _SHIP},
+}
+
+
 def _key_drift_sql() -> str:
     parts = []
     for payload, (cond, keys) in _PAYLOAD_KEYS.items():
         for key, when in keys:
             pres = f" AND ({when})" if when else ""
+            src = _KEY_SOURCE.get(payload, {}).get(key)
+            if src:
+                pres += f" AND {src} IS NOT NULL"
             parts.append(
                 f"SELECT '{payload}' AS payload, '{key}' AS key, "
                 f"count(*) FILTER (WHERE before_split) AS b, "

@@ -170,8 +170,11 @@ def _line_payloads(c: Callable[[str], Column], drift_keys: bool
             _day(ship).alias("start_date"),
             _day(_plus_days(ship, 90)).alias("end_date"),
             F.concat(_day(ship), F.lit(" 03:04:05")).alias("created_timestamp"),
-            F.element_at(F.array(*[F.lit(p) for p in PLAN_TYPES]),
-                         (c("l_linenumber") % 5 + 1).cast("int")).alias("plan_type"),
+            # NULL line number -> no plan type (guarded: a NULL index into a
+            # literal array is otherwise mis-typed as non-nullable in codegen)
+            F.when(c("l_linenumber").isNotNull(),
+                   F.get(F.array(*[F.lit(p) for p in PLAN_TYPES]),
+                         (c("l_linenumber") % 5).cast("int"))).alias("plan_type"),
             lid.alias("uuid"),
             F.when(c("l_suppkey") % 2 == 0, "monthly").otherwise("biweekly").alias("frequency"),
             c("l_orderkey").alias("contract_id"),

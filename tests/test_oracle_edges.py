@@ -1,6 +1,6 @@
 """Every query against its oracle on a perturbed copy of the smallest tables:
-sub-second ship times, half-cent amounts, NULL and duplicate-status events,
-malformed / fractional / array event props.  The driver's tables never
+sub-second ship times, half-cent amounts, NULLs in eight line columns, NULL
+and duplicate-status events, malformed / fractional / array event props.  The driver's tables never
 contain these, so this keeps the Spark side and the SQL side honest about
 NULL ordering, rounding, truncation and malformed JSON."""
 
@@ -17,11 +17,19 @@ from conftest import SF_SMALL
 
 PERTURB = {
     "lineitem": """SELECT * REPLACE (
-        CASE WHEN l_orderkey % 7 = 0 THEN l_shipdate + INTERVAL '13:05:07.25'
+        CASE WHEN l_orderkey % 61 = 0 THEN NULL
+             WHEN l_orderkey % 7 = 0 THEN l_shipdate + INTERVAL '13:05:07.25'
              ELSE l_shipdate END AS l_shipdate,
         CASE WHEN l_orderkey % 5 = 0 THEN 0.045 ELSE l_tax END AS l_tax,
         CASE WHEN l_orderkey % 11 = 0 THEN l_extendedprice + 0.005
-             ELSE l_extendedprice END AS l_extendedprice)""",
+             ELSE l_extendedprice END AS l_extendedprice,
+        CASE WHEN l_orderkey % 31 = 0 THEN NULL ELSE l_discount END AS l_discount,
+        CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE l_suppkey END AS l_suppkey,
+        CASE WHEN l_orderkey % 41 = 0 THEN NULL ELSE l_linestatus END AS l_linestatus,
+        CASE WHEN l_orderkey % 43 = 0 THEN NULL ELSE l_partkey END AS l_partkey,
+        CASE WHEN l_orderkey % 47 = 0 THEN NULL ELSE l_linenumber END AS l_linenumber,
+        CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag,
+        CASE WHEN l_orderkey % 59 = 0 THEN NULL ELSE l_quantity END AS l_quantity)""",
     "events": """SELECT * REPLACE (
         CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS ts,
         CASE WHEN event_id % 17 = 0 THEN 'petitioned' ELSE event_type END AS event_type,
