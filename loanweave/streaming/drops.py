@@ -19,11 +19,11 @@ from pyspark.sql.streaming import StreamingQuery
 from loanweave.plans.mart import run_mart
 from loanweave.session import scratch_path
 from loanweave.sources import contract
-from loanweave.sources.snapshot import read_snapshot
+from loanweave.sources.snapshot import path_exists, read_snapshot, snapshot_ready
 
 # Fixed value: the date inside a dropped snapshot's folder name.
 DATE_IN_PATH = r"_(\d{4})_(\d{2})_(\d{2})\.parquet"
-SNAPSHOT_DIR = r"^(.*_\d{4}_\d{2}_\d{2}\.parquet)/"
+SNAPSHOT_DIR = r"^(.*_\d{4}_\d{2}_\d{2}\.parquet)(?:/|$)"  # a folder or a single file
 
 
 def drop_stream(spark: SparkSession, drop_root: str) -> DataFrame:
@@ -39,24 +39,54 @@ def drop_stream(spark: SparkSession, drop_root: str) -> DataFrame:
             .withColumn("_snapshot_dir", F.regexp_extract(path, SNAPSHOT_DIR, 1)))
 
 
+def _pending(spark: SparkSession, checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}/pending_snapshots"
+
+
+def _read_pending(spark: SparkSession, checkpoint: str) -> set[tuple[str, dt.date]]:
+    path = _pending(spark, checkpoint)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return set()
+    return {(r.folder, r.day) for r in spark.read.parquet(path).collect()}
+
+
+def _write_pending(spark: SparkSession, checkpoint: str,
+                   waiting: set[tuple[str, dt.date]]) -> None:
+    spark.createDataFrame(sorted(waiting), "folder string, day date") \
+        .coalesce(1).write.mode("overwrite").parquet(_pending(spark, checkpoint))
+
+
 def watch_drops(spark: SparkSession, drop_root: str, out_root: str,
                 checkpoint: str | None = None, observed: bool = False,
                 available_now: bool = True) -> StreamingQuery:
     """Start the watcher; with ``available_now`` it processes what has
     arrived and stops (a scheduled run), otherwise it keeps watching.
 
-    A batch only says which snapshot folders received files.  Each of them
-    is then read whole and its date rebuilt, so a snapshot whose files
-    arrive over several batches ends up complete, never as the last part.
+    A batch only says which snapshots (dated folders or single files)
+    received files.  Each committed one is then read whole and its date
+    rebuilt, so a snapshot whose files arrive over several batches ends up
+    complete, never as the last part.  A folder without its ``_SUCCESS``
+    marker is still being written: it is remembered in a small pending list
+    next to the stream's checkpoint and built by the first later batch that
+    finds it committed.  Producers should publish each snapshot atomically
+    (write elsewhere, then rename into the drop folder).
     """
     checkpoint = checkpoint or scratch_path(spark, "streams", "snapshot_drops")
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # One row per touched folder: a handful of names, never data.
-        touched = batch.select("_snapshot_dir", "_snapshot_date").distinct().collect()
-        for folder, day in sorted((r[0], r[1]) for r in touched if r[0] and r[1]):
+        # One row per touched snapshot: a handful of names, never data.
+        touched = {(r[0], r[1]) for r in
+                   batch.select("_snapshot_dir", "_snapshot_date").distinct().collect()
+                   if r[0] and r[1]}
+        candidates = touched | _read_pending(spark, checkpoint)
+        waiting = set()
+        for folder, day in sorted(candidates):
+            if not snapshot_ready(spark, folder):
+                waiting.add((folder, day))
+                continue
             run_mart(spark, read_snapshot(spark, folder), out_root, day,
                      dt.datetime.combine(day, dt.time()), observed=observed)
+        _write_pending(spark, checkpoint, waiting)
 
     writer = drop_stream(spark, drop_root).writeStream.foreachBatch(per_batch) \
         .option("checkpointLocation", checkpoint)

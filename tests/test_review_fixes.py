@@ -73,10 +73,12 @@ def test_snapshot_arriving_over_two_batches_is_built_whole(spark):
     assert len(parts) >= 2
     folder = snapshot_file(root, D)
     os.makedirs(folder)
-    shutil.copy(parts[0], folder)                      # first part arrives
+    shutil.copy(parts[0], folder)                      # first part arrives, not committed
     watch_drops(spark, root, out, checkpoint=ckpt).awaitTermination(600)
-    for p in parts[1:]:                                # the rest arrives later
+    assert not os.path.exists(os.path.join(out, "active_installment"))  # nothing built yet
+    for p in parts[1:]:                                # the rest arrives, then the commit
         shutil.copy(p, folder)
+    open(os.path.join(folder, "_SUCCESS"), "w").close()
     watch_drops(spark, root, out, checkpoint=ckpt).awaitTermination(600)
     expect_root = tempfile.mkdtemp(prefix="mart-")
     run_mart(spark, read_snapshot(spark, folder), expect_root, D, dt.datetime(2024, 1, 1))
@@ -85,3 +87,16 @@ def test_snapshot_arriving_over_two_batches_is_built_whole(spark):
         b = spark.read.parquet(os.path.join(expect_root, table)).drop("extract_timestamp")
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_single_file_drop_is_built(spark):
+    root, out = tempfile.mkdtemp(prefix="drops-"), tempfile.mkdtemp(prefix="mart-")
+    staged = tempfile.mkdtemp(prefix="parts-")
+    build_snapshot(spark, SF_SMALL, "before").coalesce(1).write.parquet(staged + "/s")
+    part = glob.glob(staged + "/s/part-*.parquet")[0]
+    os.makedirs(root, exist_ok=True)
+    shutil.copy(part, snapshot_file(root, D))          # the snapshot is one parquet file
+    watch_drops(spark, root, out, checkpoint=tempfile.mkdtemp(prefix="stream-")).awaitTermination(600)
+    got = spark.read.parquet(os.path.join(out, "active_installment"))
+    assert {r.extract_date for r in got.select("extract_date").distinct().collect()} == {D}
+    assert run_daily(spark, root, tempfile.mkdtemp(prefix="mart-"), D)["status"] == "done"
