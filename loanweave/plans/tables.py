@@ -536,3 +536,39 @@ def payment_plan(snapshot: DataFrame) -> DataFrame:
         casts.utc_to_central(t("updated_at")).alias("updated_time"),
     )
     return out.select(*PAYMENT_PLAN_OUTPUT)
+
+
+# ---------------------------------------------------------------------------
+# Row counts without materialising the tables
+# ---------------------------------------------------------------------------
+
+def _size0(arr: Column) -> Column:
+    return F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))
+
+
+def generated_row_counts(snapshot: DataFrame) -> DataFrame:
+    """``(table_name, n_rows)`` of every table that is one generator over the
+    latest frame.  A generator emits exactly as many rows as the array it
+    explodes holds (the same expressions the builds explode), so each count
+    is a sum of array sizes over the latest versions.  The sizes are computed
+    per version *before* the ranking, so the ranking shuffle carries ids and
+    a few integers instead of payload text.  Covers the uniform payload
+    tables without a ``distinct``, bankruptcy and the interest-rate schedule
+    (``explode_outer``: at least one row)."""
+    sums = {}
+    for name, spec in PAYLOAD_TABLES.items():
+        if not spec.distinct:
+            sums[name] = _size0(parse_array(spec.payload, spec.element_ddl(ELEMENT_MONEY)))
+    has_payload = (F.col("bankruptcy_timeline") != "[]") | (F.col("bankruptcy_claims") != "[]")
+    sums["bankruptcy"] = F.when(
+        has_payload,
+        _size0(timeline_entries(F.col("bankruptcy_timeline")))
+        + _size0(parse_array("bankruptcy_claims", C.BANKRUPTCY_CLAIMS))).otherwise(0)
+    schedule = parse_object("loan_data", C.LOAN_DATA)["interest_rate_schedule"]
+    sums["interest_rate"] = F.greatest(_size0(schedule), F.lit(1))
+    sizes = visible(snapshot).select("loan_id", "published_at", "id",
+                                     *[e.alias(n) for n, e in sums.items()])
+    one = latest_per_key(sizes).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n)
+                                      for n in sums])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("table_name"), F.col(n).alias("n_rows")) for n in sums])))

@@ -22,6 +22,8 @@ MAX_SHUFFLES = {
     "original_installment_observed": 1,   # distinct only (visible frame)
     "loan_financial_owner_observed": 0,   # visible frame, fan-out only
     "visible_rows": 0, "snapshot_scan": 0, "json_array_rows": 0, "array_nth": 0,
+    # one narrow ranking for nine tables + global sum; distinct table (2); payment plans (1)
+    "table_row_counts": 7,
 }
 
 
