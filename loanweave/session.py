@@ -78,6 +78,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 # their compressed parquet size; aim for ~128 MB shuffle partitions.
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
 IN_MEMORY_EXPANSION = 4.0
+# Beyond this, per-partition overhead (map-status metadata, shuffle fetches
+# per reducer) outweighs smaller partitions; the estimate above is of the
+# whole snapshot, while each shuffle carries only its pruned columns.
 MAX_SHUFFLE_PARTITIONS = 50_000
 
 
