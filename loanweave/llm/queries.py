@@ -6,15 +6,38 @@ import hashlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanweave.llm import bpe, packing
-from loanweave.llm.common import table
+from loanweave.llm import bpe, langid, packing, quality, toxicity, warc
+from loanweave.llm.common import ship_package, table
 from loanweave.session import prepare_session
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _prepared(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare_session(spark)
-    return table(spark, sf_dir, "documents")
+    ship_package(spark)
+    return table(spark, sf_dir, name)
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prepared(spark, sf_dir, "documents")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text by cross-parsing against labelled text."""
+    docs = _docs(spark, sf_dir)
+    found = langid.predict(docs, langid.training_text(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, read back and verified."""
+    pages = _prepared(spark, sf_dir, "pages")
+    path = warc.archive_path(spark)
+    warc.write_archive(pages, path)
+    records = warc.read_archive(spark, path, pages.schema["page_id"].dataType.simpleString())
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                          F.assert_true("verified").isNull().alias("verified"))
 
 
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,9 +58,41 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_docs(spark, sf_dir), with_ids=False)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text scored by the clause grammar with learned insult stems."""
+    docs = _docs(spark, sf_dir)
+    stems, base = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, stems, base)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op10_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules, then the distance from the robust estimate of language and source."""
+    return quality.score_quality(_docs(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 QUERIES = {
+    "op3_language_id": op3_language_id,
+    "op5_warc_archive": op5_warc_archive,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
+    "op10_quality_outliers": op10_quality_outliers,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc_archive": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+             d AS (SELECT page_id, strlen(h) AS n, max(page_id) OVER (PARTITION BY h) AS top,
+                          list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                              ((('0x' || substr(x, 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)),
+                              'string_agg', '') AS digest
+                   FROM p)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> top THEN top END AS refers_to, true AS verified
+        FROM d
+    """,
+}
