@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.llm import bpe, langid, packing, quality, toxicity, warc
+from loanweave.llm import bpe, langid, minhash, packing, quality, toxicity, warc
 from loanweave.llm.common import ship_package, table
 from loanweave.session import prepare_session
 
@@ -23,6 +23,11 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prepared(spark, sf_dir, "documents")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets are 0.8 similar."""
+    return minhash.near_duplicates(_docs(spark, sf_dir), k=4)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text by cross-parsing against labelled text."""
     docs = _docs(spark, sf_dir)
@@ -74,6 +79,7 @@ def op10_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op3_language_id": op3_language_id,
     "op5_warc_archive": op5_warc_archive,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
@@ -83,6 +89,22 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_minhash_dedup": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                       ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM d),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             often AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+             t AS (SELECT doc_id, g FROM s SEMI JOIN often USING (g)),
+             p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM t a JOIN t b USING (g)
+                   WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+             e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+             r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y),
+             c AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM c LEFT JOIN n USING (doc_id)
+    """,
     "op5_warc_archive": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
              d AS (SELECT page_id, strlen(h) AS n, max(page_id) OVER (PARTITION BY h) AS top,
