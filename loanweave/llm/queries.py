@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.llm import bpe, langid, minhash, packing, quality, toxicity, warc
+from loanweave.llm import bpe, langid, minhash, packing, pii, quality, toxicity, warc
 from loanweave.llm.common import ship_package, table
 from loanweave.session import prepare_session
 
@@ -28,6 +28,19 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_docs(spark, sf_dir), k=4)
 
 
+def op2_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every text, and those that the boosted trees add."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+
+    def count(kind: str):
+        return F.size(F.filter("pii_base", lambda c: c["k"] == pii.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.KINDS],
+                        F.sha2(pii.said(F.col("pii_base")).cast("binary"), 256).alias("base_sha256"),
+                        pii.said(F.col("pii_spans")).alias("spans"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text by cross-parsing against labelled text."""
     docs = _docs(spark, sf_dir)
@@ -80,6 +93,7 @@ def op10_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_pii_boosting": op2_pii_boosting,
     "op3_language_id": op3_language_id,
     "op5_warc_archive": op5_warc_archive,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
