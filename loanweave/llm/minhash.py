@@ -13,9 +13,9 @@ candidates, exact verification.
 4. Linked documents are contracted to components.  Where a bucket still holds
    several components, the members outside the smallest document's component are
    compared with all members of other components: small buckets by a join on
-   the key, larger ones in blocks of ``BLOCK`` signatures, pruned inside the
-   task.  Pairs within a component, nearly all of a group of copies, are never
-   made.  Survivors are verified in the same way; components are then final.
+   the key and step 3, larger ones in blocks of ``BLOCK`` members inside tasks,
+   pruned and verified there.  Pairs within a component, nearly all of a group
+   of copies, are never made.  Components of all links are then final.
 
 At similarity 0.8 a pair shares no band with probability (1 - 0.8**5)**32 =
 3e-6, less for more similar ones, and pruning misses it with at most ``MISS``
@@ -247,8 +247,10 @@ def _small_pairs(members: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def _block_pairs(members: DataFrame, docs: _Bucketed, percent: int) -> DataFrame:
-    """Surviving pairs of large buckets, compared block by block inside tasks."""
+def _block_links(members: DataFrame, docs: _Bucketed, k: int, percent: int) -> DataFrame:
+    """Links across components in large buckets: blocks of signatures are compared
+    inside tasks and survivors verified there, unless links found in the block have
+    joined their components already; only links that join components come out."""
     least = least_matches(percent)
     many = members.where(F.col("n") > SMALL_BUCKET)
     out_blocks = F.ceil(F.col("n_out") / BLOCK).cast("int")
@@ -260,8 +262,7 @@ def _block_pairs(members: DataFrame, docs: _Bucketed, percent: int) -> DataFrame
     col = many.where("x != pivot").select(
         "key", "x", "cx", "outside", F.lit(False).alias("probe"),
         F.explode(F.sequence(F.lit(0), out_blocks - 1)).alias("r"), F.pmod(h, all_blocks).cast("int").alias("m"))
-    sig = docs.by_bucket("doc_id", "sig", "n_shingles", "bands").select(
-        F.col("doc_id").alias("id"), "sig", "n_shingles", "bands")
+    sig = docs.by_bucket("doc_id", "sig", "n_shingles", "bands", "text").withColumnRenamed("doc_id", "id")
     both = row.unionByName(col).join(sig, F.col("x") == F.col("id")).drop("id")
     id_type = members.schema["x"].dataType.simpleString()
 
@@ -272,17 +273,37 @@ def _block_pairs(members: DataFrame, docs: _Bucketed, percent: int) -> DataFrame
         n = t["n_shingles"].to_numpy()
         sig = _sig_matrix(t["sig"].combine_chunks())
         bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        texts = t["text"].combine_chunks()
+        sets: dict[int, np.ndarray] = {}
+        root = {c: c for c in cx.tolist()}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        def shingles(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_sets(texts.slice(i, 1), k)[0]
+            return sets[i]
+
         rows, cols = np.flatnonzero(probe), np.flatnonzero(~probe)
         found = []
-        for i in rows:
+        for i in rows.tolist():
             j = cols[(cx[cols] != cx[i]) & (~out[cols] | (x[cols] > x[i]))
                      & (100 * np.minimum(n[cols], n[i]) >= percent * np.maximum(n[cols], n[i]))]
             if len(j):
                 j = j[similar_enough(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j], least)]
             if len(j):  # a pair is taken in the first band that its members share
-                same = bands[j] == bands[i]
-                j = j[bands[i][same.argmax(axis=1)] == band_key]
-            found += [(min(x[i], x[k]), max(x[i], x[k])) for k in j]
+                j = j[bands[i][(bands[j] == bands[i]).argmax(axis=1)] == band_key]
+            for m in j[np.argsort(-(sig[j] == sig[i]).sum(axis=1), kind="stable")].tolist():
+                a, b = find(cx[i]), find(cx[m])
+                if a != b:
+                    both = len(np.intersect1d(shingles(i), shingles(m), assume_unique=True))
+                    if 100 * both >= percent * (n[i] + n[m] - both):
+                        root[max(a, b)] = min(a, b)
+                        found.append((min(x[i], x[m]), max(x[i], x[m])))
         return pa.table({"a": pa.array([f[0] for f in found], t["x"].type),
                          "b": pa.array([f[1] for f in found], t["x"].type)})
 
@@ -307,8 +328,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     stars = hits.where("x != pivot").select(F.col("pivot").alias("a"), F.col("x").alias("b")).distinct()
     links = _confirmed(stars, table, k, percent)
     still = _open_buckets(hits, links)
-    rest = stage(_small_pairs(still).unionByName(_block_pairs(still, table, percent)).distinct(), "minhash_rest")
-    more = _confirmed(rest, table, k, percent)
+    more = _confirmed(stage(_small_pairs(still), "minhash_rest"), table, k, percent).unionByName(
+        stage(_block_links(still, table, k, percent), "minhash_block_links"))
     member = usable.select("doc_id", "fp1", "fp2", "n_shingles").join(
         classes, (F.col("fp1") == F.col("f1")) & (F.col("fp2") == F.col("f2")) & (F.col("n_shingles") == F.col("n"))
     ).select("doc_id", "n_shingles", "rep")
