@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.llm import bpe, langid, minhash, packing, pii, quality, toxicity, warc
+from loanweave.llm import bpe, hnsw, langid, minhash, packing, pii, quality, toxicity, warc
 from loanweave.llm.common import ship_package, table
 from loanweave.session import prepare_session
 
@@ -85,6 +85,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors at cosine 0.9, through graphs per shard."""
+    return hnsw.link_embeddings(_prepared(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules, then the distance from the robust estimate of language and source."""
     return quality.score_quality(_docs(spark, sf_dir)).select(
@@ -99,6 +104,7 @@ QUERIES = {
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_outliers": op10_quality_outliers,
 }
 
@@ -119,6 +125,19 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
         FROM c LEFT JOIN n USING (doc_id)
     """,
+    "op9_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+                             WHERE len(embedding) > 0 AND list_count(embedding) = len(embedding)
+                               AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+                               AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+             l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+                   WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+             r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y),
+             c AS (SELECT x AS vec_id, min(y) AS component_id FROM r GROUP BY x),
+             d AS (SELECT x AS vec_id, count(*) AS n_links FROM l GROUP BY x)
+        SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM c LEFT JOIN d USING (vec_id)
+    """,
     "op5_warc_archive": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
              d AS (SELECT page_id, strlen(h) AS n, max(page_id) OVER (PARTITION BY h) AS top,
