@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.llm import bpe, hnsw, langid, minhash, packing, pii, quality, toxicity, warc
+from loanweave.llm import bpe, chat, hnsw, langid, minhash, packing, pii, quality, toxicity, warc
 from loanweave.llm.common import ship_package, table
 from loanweave.session import prepare_session
 
@@ -48,6 +48,19 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against its variant with the next one's replies."""
+    chosen, rejected = chat.neighbour_pairs(_prepared(spark, sf_dir, "conversations"))
+    said = F.transform  # masks as start:end lists, so that SQL can state them
+
+    def spans(mask: str):
+        return F.array_join(said(mask, lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",")
+
+    return chat.format_preferences(chosen, rejected).select(
+        "pair_id", "n_common", "prompt", "chosen", spans("chosen_mask").alias("chosen_mask"),
+        "rejected", spans("rejected_mask").alias("rejected_mask"))
+
+
 def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived, read back and verified."""
     pages = _prepared(spark, sf_dir, "pages")
@@ -100,6 +113,7 @@ QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_pii_boosting": op2_pii_boosting,
     "op3_language_id": op3_language_id,
+    "op4_chat_preferences": op4_chat_preferences,
     "op5_warc_archive": op5_warc_archive,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
     "op7_packing": op7_packing,
@@ -125,6 +139,34 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
         FROM c LEFT JOIN n USING (doc_id)
     """,
+    "op4_chat_preferences": """
+        WITH c AS (SELECT conv_id AS p, turn, role, text,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS pos
+                   FROM conversations WHERE conv_id IS NOT NULL),
+             k AS (SELECT conv_id AS p, list_sort(list(DISTINCT turn) FILTER (WHERE role = 'assistant' AND turn IS NOT NULL)) AS t
+                   FROM conversations WHERE conv_id IS NOT NULL GROUP BY ALL),
+             o AS (SELECT conv_id - 1 AS p, turn, min(text) AS text FROM conversations WHERE role = 'assistant' GROUP BY ALL),
+             x AS (SELECT c.p, c.turn, c.role, CASE WHEN c.turn >= coalesce(k.t[2], k.t[1]) THEN coalesce(o.text, c.text) ELSE c.text END AS text
+                   FROM c JOIN k USING (p) LEFT JOIN o ON o.p = c.p AND o.turn = c.turn AND c.role = 'assistant'),
+             r AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS pos FROM x),
+             b AS (SELECT c.p, c.pos, coalesce(c.role, 'user') AS cr, coalesce(c.text, '') AS ct,
+                          coalesce(r.role, 'user') AS rr, coalesce(r.text, '') AS rt FROM c JOIN r USING (p, pos)),
+             n AS (SELECT p, coalesce(min(pos) FILTER (WHERE cr <> rr OR ct <> rt), max(pos) + 1) AS n FROM b GROUP BY p),
+             w AS (SELECT p, pos, n, pos < n AS common, cr, rr, '<|' || cr || '|>' || chr(10) || ct || chr(10) || '<|end|>' || chr(10) AS cs,
+                          '<|' || rr || '|>' || chr(10) || rt || chr(10) || '<|end|>' || chr(10) AS rs FROM b JOIN n USING (p)),
+             z AS (SELECT *, coalesce(sum(length(cs)) FILTER (WHERE NOT common) OVER u, 0) AS ce,
+                          coalesce(sum(length(rs)) FILTER (WHERE NOT common) OVER u, 0) AS re
+                   FROM w WINDOW u AS (PARTITION BY p ORDER BY pos))
+        SELECT p AS pair_id, n AS n_common,
+               coalesce(string_agg(cs, '' ORDER BY pos) FILTER (WHERE common), '') AS prompt,
+               coalesce(string_agg(cs, '' ORDER BY pos) FILTER (WHERE NOT common), '') AS chosen,
+               coalesce(string_agg((ce - length(cs) + length(cr) + 5)::BIGINT || ':' || ce::BIGINT, ',' ORDER BY pos)
+                        FILTER (WHERE NOT common AND cr = 'assistant'), '') AS chosen_mask,
+               coalesce(string_agg(rs, '' ORDER BY pos) FILTER (WHERE NOT common), '') AS rejected,
+               coalesce(string_agg((re - length(rs) + length(rr) + 5)::BIGINT || ':' || re::BIGINT, ',' ORDER BY pos)
+                        FILTER (WHERE NOT common AND rr = 'assistant'), '') AS rejected_mask
+        FROM z GROUP BY p, n
+    """,
     "op9_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
                              WHERE len(embedding) > 0 AND list_count(embedding) = len(embedding)
