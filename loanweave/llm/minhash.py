@@ -274,7 +274,7 @@ def _block_links(members: DataFrame, docs: _Bucketed, k: int, percent: int) -> D
         sig = _sig_matrix(t["sig"].combine_chunks())
         bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         texts = t["text"].combine_chunks()
-        sets: dict[int, np.ndarray] = {}
+        sets: dict[int, frozenset] = {}
         root = {c: c for c in cx.tolist()}
 
         def find(c):
@@ -283,9 +283,9 @@ def _block_links(members: DataFrame, docs: _Bucketed, k: int, percent: int) -> D
                 c = root[c]
             return c
 
-        def shingles(i: int) -> np.ndarray:
+        def shingles(i: int) -> frozenset:
             if i not in sets:
-                sets[i] = shingle_sets(texts.slice(i, 1), k)[0]
+                sets[i] = frozenset(shingle_sets(texts.slice(i, 1), k)[0].tolist())
             return sets[i]
 
         rows, cols = np.flatnonzero(probe), np.flatnonzero(~probe)
@@ -300,7 +300,7 @@ def _block_links(members: DataFrame, docs: _Bucketed, k: int, percent: int) -> D
             for m in j[np.argsort(-(sig[j] == sig[i]).sum(axis=1), kind="stable")].tolist():
                 a, b = find(cx[i]), find(cx[m])
                 if a != b:
-                    both = len(np.intersect1d(shingles(i), shingles(m), assume_unique=True))
+                    both = len(shingles(i) & shingles(m))
                     if 100 * both >= percent * (n[i] + n[m] - both):
                         root[max(a, b)] = min(a, b)
                         found.append((min(x[i], x[m]), max(x[i], x[m])))
