@@ -158,11 +158,12 @@ class CrossParser:
             c = columns[t, :m]
             to = table[state[:, :m] * width + c]
             miss = to == 0
-            count[:, :m] += miss
             again = table[root_row + c]
-            again = np.where(again == 0, self.roots, again)
-            state[:, :m] = np.where(miss, again, to)
-        count += 1  # the phrase a lane ends in
+            strange = again == 0  # a symbol the language lacks is a phrase of its own
+            count[:, :m] += miss & (state[:, :m] != self.roots)
+            count[:, :m] += miss & strange
+            state[:, :m] = np.where(miss, np.where(strange, self.roots, again), to)
+        count += state != self.roots  # the phrase a lane ends in
         return np.stack([np.bincount(doc, weights=row, minlength=n_texts) for row in count]).astype(np.int64)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
