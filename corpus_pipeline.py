@@ -28,8 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the clause grammar scores at its threshold or above go."""
     ship_package(spark)
-    stems, base = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.keep_civil(docs, stems, base)
+    return toxicity.keep_civil(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,8 +92,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text scored by the clause grammar with learned insult stems."""
     docs = _docs(spark, sf_dir)
-    stems, base = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    found = toxicity.score(docs, stems, base)
+    found = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score",
                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 

@@ -4,24 +4,30 @@ Words of a clause become symbols: learned insult stems, threat verbs, targets
 (you, they, ...), negations, reporting verbs, anything else.  Four small
 transducers read the clause one after another -- reported speech, negation,
 target, and a weigher -- and are composed once into a single machine whose
-arcs carry log-odds.  A clause scores by the heaviest insult or threat on its
-path, so "you are an idiot" outweighs "idiot", and "he said that nobody is an
-idiot" weighs less; a document's score is the noisy-or of its clauses.
-
-Insult stems (word beginnings of 4 to 6 letters) and their log-odds are learned
-from a bounded sample of labelled documents; the grammar's own weights are
-fixed values below.  Scoring is one pass without a shuffle: an Aho-Corasick
-automaton finds the words that can weigh, and only their clauses are parsed.
-
-Defined results: a null or empty text scores the share of toxic documents among
-sampled ones without a match; labels on repeated doc_ids each count; null
-labels are not read; without any labelled row all texts score 0.
+arcs carry log-odds; a clause weighs the sum along its path, so "you are an
+idiot" outweighs "idiot", and "he said that nobody is an idiot" weighs less.
+
+A document's log-odds are the prior, plus the weights of its matched clauses,
+minus the matches that a toxic text of its length would be expected to have.  A
+single chance match in a long text therefore counts against it, and a stem that
+clean texts use now and then condemns only where it piles up.
+
+Insult stems (word beginnings of 4 to 6 letters), their log-odds, the prior and
+the expected rate are learned from a bounded sample of labelled documents; the
+grammar's own weights are fixed values below.  Scoring is one pass without a
+shuffle: an Aho-Corasick automaton finds the words that can weigh, and only
+their clauses are parsed.
+
+Defined results: a null or empty text scores the prior; labels on repeated
+doc_ids each count; null labels are not read; without labelled rows of both
+kinds all texts score 0 (1 if all are toxic).
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -30,13 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanweave.llm.common import drop_staged, stage
 from loanweave.llm.langid import held_out
 
 #: Labelled documents to learn from, at most (in expectation).
 MAX_LABELLED = 12_000
 STEM_LENGTHS = (4, 5, 6)
 MIN_TOXIC_DOCS = 4
-MIN_STEM_ODDS = 3.0  # log-odds against the other class
+MIN_STEM_ODDS = 1.8  # log of the ratio of a stem's rates in toxic and clean texts
+MIN_DOC_ODDS = 1.2  # the same for the shares of texts that have the stem
+MIN_EVIDENCE = 15.0  # toxic texts with the stem times its log-odds
+MOST_PER_TEXT = 6  # times that one text counts for a stem
 CONTEXT = 240  # characters of a clause read on either side of a match
 THRESHOLD = 0.3
 
@@ -50,9 +60,9 @@ NEGATIONS = ("not", "no", "never", "nobody", "isn't", "aren't", "nicht", "kein",
 REPORTS = ("said", "says", "called", "wrote", "quoted", "sagte", "sagt", "nannte", "schrieb", "dit", "disait", "écrit",
            "dijo", "dice", "llamó", "escribió")
 # Log-odds that context adds to a match.
-TARGETED, NEGATED, REPORTED, THREAT = 0.7, -1.5, -1.0, -0.5
+TARGETED, NEGATED, REPORTED = 0.7, -1.5, -1.0
+THREAT, UNTARGETED_THREAT = 5.0, 0.0
 NEGATION_REACH = 3  # words after a negation that it covers
-UNTARGETED_THREAT = -4.0
 
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _CLAUSE_END = re.compile(r"[.,;:!?\n]")
@@ -113,16 +123,28 @@ def _weigh(state, symbol):
 GRAMMAR = REPORTED_SPEECH >> NEGATION >> TARGET >> Transducer(_weigh)
 
 
+class Model:
+    """What is learned: stem -> log-odds, the prior's log-odds, and by how much more often
+    toxic texts have a match, per word."""
+
+    def __init__(self, stems: dict[str, float], prior: float, rate: float):
+        self.stems, self.prior, self.rate = stems, prior, rate
+
+    @property
+    def key(self) -> tuple:
+        return tuple(sorted(self.stems.items())), self.prior, self.rate
+
+
 class ClauseScorer:
-    """The composed machine over one lexicon: stem -> log-odds."""
+    """The composed machine over one model."""
 
-    def __init__(self, stems: dict[str, float], base: float):
-        self.stems, self.base = stems, base
+    def __init__(self, model: Model):
+        self.model, self.stems = model, model.stems
         self.arcs = GRAMMAR.compiled(KINDS)
         self.fixed = {w: k for k, words in (("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS),
                                             ("threat", THREATS)) for w in words}
         self.finder = ahocorasick.Automaton()
-        for w in (*stems, *THREATS):
+        for w in (*model.stems, *THREATS):
             self.finder.add_word(w, len(w))
         self.finder.make_automaton()
 
@@ -137,18 +159,18 @@ class ClauseScorer:
         return "other", 0.0
 
     def clause_weight(self, clause: str) -> float | None:
-        """Log-odds of the heaviest insult or threat; None if there is none.  A target
+        """Log-odds along the clause's path; None if no insult or threat is on it.  A target
         that comes after the match counts too: a clause with a target anywhere is read
         with one known from the start."""
         words = [self.classify(w) for w in _WORD.findall(clause)]
         if any(k == "target" for k, _ in words):
             words = [("target", 0.0), *words]
-        best, state = None, 0
+        total, found, state = 0.0, False, 0
         for kind, own in words:
             state, _, w = self.arcs[state, kind]
-            if kind in _WEIGHS and (best is None or w + own > best):
-                best = w + own
-        return best
+            if kind in _WEIGHS:
+                total, found = total + w + own, True
+        return total if found else None
 
     def clauses(self, text: str) -> Iterator[float]:
         low = text.lower()
@@ -168,68 +190,91 @@ class ClauseScorer:
                 yield w
 
     def score(self, text: str | None) -> float:
-        miss = 1.0 - self.base
-        for w in self.clauses(text) if text else ():
-            miss *= 1.0 / (1.0 + math.exp(min(w, 30.0)))
-        return 1.0 - miss
+        odds = self.model.prior
+        if text:
+            words = 1 + text.count(" ") + text.count("\n")
+            odds += sum(self.clauses(text)) - self.model.rate * words
+        return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, odds))))
+
 
+def _stems_of(text: str) -> tuple[Counter, int]:
+    words = [m.split("'")[0] for m in _WORD.findall(text.lower())]
+    return Counter(w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n), len(words)
 
-def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> tuple[dict[str, float], float]:
-    """Insult stems with their log-odds, and the share of toxic documents without any.
 
-    The sample is the labelled rows whose hashed doc_id falls under a threshold, so
-    only that share of the documents' texts is shuffled, whatever the table's size.
-    """
+def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
+    """The model from a sample of the labelled rows: those whose hashed doc_id falls under a
+    threshold, so only that share of the documents' texts is shuffled, whatever the table's
+    size.  Tasks count their stems before the shuffle; what reaches the driver are the
+    stems that pass the tests below."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
         "doc_id", (F.col("toxic") > 0).cast("int").alias("y"))
     n = known.count()
     if not n:
-        return {}, 0.0
+        return Model({}, -math.inf, 0.0)
     share = min(1.0, max_labelled / n)
     drawn = (F.xxhash64(F.col("doc_id").cast("string"), F.lit("tox")) / 2.0**64 + 0.5) < share
-    sample = (docs.where(drawn & F.col("text").isNotNull()).select("doc_id", F.lower(F.col("text").cast("string")).alias("text"))
-              .join(known.where(drawn), "doc_id"))
-    words = sample.select("y", F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1))).alias("w"))
-    begun = F.array_distinct(F.flatten(F.transform("w", lambda w: F.filter(
-        F.array(*[F.when(F.length(w) >= k, F.substring(w, 1, k)) for k in STEM_LENGTHS]), lambda s: s.isNotNull()))))
-    counts = words.select("y", F.explode(begun).alias("stem")).groupBy("stem").agg(
-        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    total = sample.agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).first()
-    n_pos, n_neg = total["pos"] or 0, total["neg"] or 0
-    if not n_pos or not n_neg:
-        return {}, float(bool(n_pos))
+    sample = (docs.where(drawn & F.col("text").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
+              .join(known.where(drawn), "doc_id").select("y", "text"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = (Counter(), Counter())
+        texts = (Counter(), Counter())
+        size = [0, 0]
+        rows = [0, 0]
+        for b in batches:
+            for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found, n_words = _stems_of(text)
+                tokens[y].update({s: min(c, MOST_PER_TEXT) for s, c in found.items()})
+                texts[y].update(found.keys())
+                size[y] += n_words
+                rows[y] += 1
+        stems = sorted({*tokens[0], *tokens[1]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(["", *stems], pa.string()), pa.array([size[1], *(tokens[1][s] for s in stems)], pa.int64()),
+             pa.array([size[0], *(tokens[0][s] for s in stems)], pa.int64()),
+             pa.array([rows[1], *(texts[1][s] for s in stems)], pa.int64()),
+             pa.array([rows[0], *(texts[0][s] for s in stems)], pa.int64())],
+            ["stem", "pos", "neg", "docs", "clean_docs"])
+
+    counts = stage(sample.mapInArrow(count, "stem string, pos bigint, neg bigint, docs bigint, clean_docs bigint").groupBy("stem").agg(
+        *[F.sum(c).alias(c) for c in ("pos", "neg", "docs", "clean_docs")]), "toxic_stems")
+    total = counts.where("stem = ''").first()
+    if total is None or not total.docs or not total.clean_docs:
+        return Model({}, math.inf if total is not None and total.docs else -math.inf, 0.0)
+    odds = F.log((F.col("pos") + 0.5) / (total.pos + 1.0)) - F.log((F.col("neg") + 0.5) / (total.neg + 1.0))
+    share = F.log((F.col("docs") + 0.5) / (total.docs + 1.0)) - F.log((F.col("clean_docs") + 0.5) / (total.clean_docs + 1.0))
     # From counts over a bounded sample, so bounded itself.
-    odds = F.log((F.col("pos") + 0.5) / (n_pos + 1.0)) - F.log((F.col("neg") + 0.5) / (n_neg + 1.0))
-    found = counts.where((F.col("pos") >= MIN_TOXIC_DOCS) & (odds >= MIN_STEM_ODDS)
-                         & (F.col("pos") >= 10 * F.col("neg"))).select("stem", "pos", "neg").collect()
-    stems: dict[str, float] = {}
+    found = counts.where((F.col("stem") != "") & (F.col("docs") >= MIN_TOXIC_DOCS) & (share >= MIN_DOC_ODDS)
+                         & (odds * F.col("docs") >= MIN_EVIDENCE)).select("stem", "pos", "neg", odds.alias("odds")).where(
+        F.col("odds") >= MIN_STEM_ODDS).collect()
+    drop_staged(counts)
+    stems, pos, neg = {}, 0, 0
     for r in sorted(found, key=lambda r: (len(r.stem), r.stem)):
         if not any(r.stem[:k] in stems for k in STEM_LENGTHS):
-            stems[r.stem] = math.log((r.pos + 0.5) / (r.neg + 1.0))
-    hit = F.exists("w", lambda w: F.expr("false") if not stems else F.substring(w, 1, STEM_LENGTHS[0]).isin(
-        sorted({s[:STEM_LENGTHS[0]] for s in stems})))
-    rest = words.where(~hit).agg(F.sum("y").alias("pos"), F.count("*").alias("n")).first()
-    return stems, ((rest["pos"] or 0) + 0.1) / ((rest["n"] or 0) + 10.0)
+            stems[r.stem] = r.odds
+            pos, neg = pos + r.pos, neg + r.neg
+    rate = max(0.0, pos / max(1, total.pos) - neg / max(1, total.neg))
+    return Model(stems, math.log(total.docs / total.clean_docs), rate)
 
 
 _SCORER: dict = {}
 
 
-def _scorer(stems: dict[str, float], base: float) -> ClauseScorer:
-    key = hash((tuple(sorted(stems.items())), base))
-    if key not in _SCORER:
+def _scorer(model: Model) -> ClauseScorer:
+    if model.key not in _SCORER:
         _SCORER.clear()
-        _SCORER[key] = ClauseScorer(stems, base)
-    return _SCORER[key]
+        _SCORER[model.key] = ClauseScorer(model)
+    return _SCORER[model.key]
 
 
-def score(docs: DataFrame, stems: dict[str, float], base: float) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every text."""
     frame = docs.select("doc_id", F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            machine = _scorer(stems, base)
+            machine = _scorer(model)
             texts = b.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([machine.score(t) for t in texts], pa.float64())], ["doc_id", "score"])
@@ -237,13 +282,13 @@ def score(docs: DataFrame, stems: dict[str, float], base: float) -> DataFrame:
     return frame.mapInArrow(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, score double")
 
 
-def keep_civil(docs: DataFrame, stems: dict[str, float], base: float, threshold: float = THRESHOLD) -> DataFrame:
+def keep_civil(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (all columns) that score under ``threshold``."""
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            machine = _scorer(stems, base)
+            machine = _scorer(model)
             texts = b.column(place).cast(pa.string()).to_pylist()
             yield b.filter(pa.array(np.array([machine.score(t) < threshold for t in texts], bool)))
 
