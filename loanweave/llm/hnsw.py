@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from loanweave.llm.common import connected_components, stage
 
 THRESHOLD = 0.9
-SHARD_ROWS = 8192
+SHARD_ROWS = 32768
 QUERY_ROWS = 16384
 DEGREE = 24
 BEAM = 48
