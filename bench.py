@@ -28,6 +28,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    # One machine: any local folder is shared by its executor threads.
     scratch = tempfile.mkdtemp(prefix="loanweave-bench-")
     spark = build_session(
         f"local[{cpus}]", app_name="loanweave-bench", shuffle_partitions=2 * cpus,
@@ -35,7 +36,7 @@ def main() -> None:
                "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(32 * 1024 * 1024)})
 
     t = time.perf_counter()
-    for half in (None, "before", "after"):
+    for half in (None, "before", "after", "drifted"):
         portfolio_snapshot(spark, sf_dir, half)
     stage = time.perf_counter() - t
 

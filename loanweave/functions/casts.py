@@ -11,9 +11,10 @@ CENTRAL_ZONE = "America/Chicago"
 
 
 def to_int(c: Column) -> Column:
-    """Text -> int; integral decimals such as ``'12.0'`` are accepted (the
-    fraction is truncated), anything else unparsable -> NULL."""
-    return F.coalesce(c.try_cast("int"), c.try_cast("decimal(38,18)").try_cast("int"))
+    """Text -> int; decimals such as ``'12.0'`` are accepted (the fraction is
+    truncated), anything else, exponents included, -> NULL."""
+    plain = c.cast("string").rlike(r"^\s*[+-]?\d+(\.\d*)?\s*$")
+    return F.coalesce(c.try_cast("int"), F.when(plain, c.try_cast("decimal(38,18)").try_cast("int")))
 
 
 def to_date(c: Column) -> Column:

@@ -16,8 +16,14 @@ def parse_object(c: Column | str, ddl: str) -> Column:
 
 
 def parse_array(c: Column | str, element_ddl: str) -> Column:
-    """JSON array text -> array<struct>; a lone object becomes a 1-element array."""
-    return F.from_json(_c(c), f"array<struct<{element_ddl}>>")
+    """JSON array text -> array<struct>; a lone object becomes a 1-element array.
+
+    An element that is no object becomes an all-NULL struct and leaves its
+    siblings alone: the whole-array parse gives NULL for such an array, which
+    is then parsed element by element."""
+    element = f"struct<{element_ddl}>"
+    return F.coalesce(F.from_json(_c(c), f"array<{element}>"),
+                      F.transform(F.from_json(_c(c), "array<string>"), lambda e: F.from_json(e, element)))
 
 
 def array_elements(c: Column | str) -> Column:
@@ -36,9 +42,10 @@ def array_or_object(c: Column | str) -> Column:
     """Array of element texts: an array gives its elements, an object gives
     itself, ``'[]'``/NULL/scalars/malformed give NULL."""
     c = _c(c)
-    is_object = F.json_object_keys(c).isNotNull()
+    # Only a text that starts like an object is parsed as one.
+    object_led = c.rlike(r"^\s*\{")
     return (F.when(c.isNull() | (c == "[]"), F.lit(None).cast("array<string>"))
-             .when(is_object, F.array(c))
+             .when(object_led & F.json_object_keys(c).isNotNull(), F.array(c))
              .otherwise(array_elements(c)))
 
 

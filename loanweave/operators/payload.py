@@ -7,23 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.functions.json import element_count, parse_array
+from loanweave.functions.json import element_count, nth, parse_array
 
 
 def explode_elements(df: DataFrame, payload: str, element_ddl: str,
-                     keep: Sequence[Column | str], outer: bool = False,
-                     with_position: bool = False) -> DataFrame:
-    """One row per payload element (column ``e``, optional ``pos``).
-
-    Inner form drops rows whose payload is NULL, empty or malformed; the
-    outer form keeps them with ``e`` NULL.
-    """
-    parsed = parse_array(payload, element_ddl)
-    if with_position:
-        gen = F.posexplode_outer(parsed) if outer else F.posexplode(parsed)
-        return df.select(*keep, gen.alias("pos", "e"))
-    gen = F.explode_outer(parsed) if outer else F.explode(parsed)
-    return df.select(*keep, gen.alias("e"))
+                     keep: Sequence[Column | str]) -> DataFrame:
+    """One row per payload element (column ``e``); rows whose payload is
+    NULL, empty or malformed are dropped."""
+    return df.select(*keep, F.explode(parse_array(payload, element_ddl)).alias("e"))
 
 
 def fan_out(df: DataFrame, payload: str) -> DataFrame:
@@ -41,7 +32,7 @@ def fan_out(df: DataFrame, payload: str) -> DataFrame:
 def values_at(parsed: Column, fields: Sequence[tuple[str, str]], index: int) -> list[Column]:
     """``(out_name, path)`` fields of element ``index`` of a parsed array;
     NULL when the array is shorter or NULL (no ANSI index error)."""
-    elem = F.get(parsed, index)
+    elem = nth(parsed, index)
     out = []
     for name, path in fields:
         c = elem

@@ -8,7 +8,7 @@ snapshot or directly over a driver table.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,17 +22,16 @@ from loanweave.functions.keys import hash_concat, surrogate_key
 from loanweave.operators import drift, sink
 from loanweave.operators.snapshot import non_empty, rename_by_mapping, visible
 from loanweave.plans import tables as TB
-from loanweave.session import plan_size_bytes, scratch_path, size_shuffle_partitions
+from loanweave.session import scratch_path
 from loanweave.sources import contract as C
 from loanweave.sources.fixture import read_table
-from loanweave.sources.snapshot import portfolio_snapshot
+from loanweave.sources.snapshot import portfolio_footer, portfolio_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _snap(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap = portfolio_snapshot(spark, sf_dir)
-    size_shuffle_partitions(spark, plan_size_bytes(snap))
     return snap
 
 
@@ -230,7 +229,7 @@ def table_row_counts(spark, sf_dir):
     return out
 
 
-DRIFT_PAYLOADS = tuple(C.PAYLOAD_ARRAY_COLUMNS)
+DRIFT_PAYLOADS = tuple(C.PAYLOAD_COLUMNS)
 
 
 def payload_key_drift(spark, sf_dir):
@@ -243,8 +242,15 @@ def payload_schema(spark, sf_dir):
 
 
 def schema_drift(spark, sf_dir):
-    return drift.schema_drift(spark, portfolio_snapshot(spark, sf_dir, "before"),
-                              portfolio_snapshot(spark, sf_dir, "after"), DRIFT_PAYLOADS)
+    """Outer columns and payload schemas of the two halves side by side."""
+    return drift.schema_drift(spark, portfolio_footer(spark, sf_dir, "before"),
+                              portfolio_footer(spark, sf_dir, "drifted"), DRIFT_PAYLOADS)
+
+
+def outer_schema_drift(spark, sf_dir):
+    """Outer columns of the two halves, each read from its own file footer."""
+    return drift.outer_schema_drift(spark, portfolio_footer(spark, sf_dir, "before"),
+                                    portfolio_footer(spark, sf_dir, "drifted"))
 
 
 # Fixed values of the round-trip check.
@@ -254,7 +260,7 @@ SINK_AS_OF = dt.datetime(2024, 1, 2, 6, 0, 0)
 
 def sink_roundtrip(spark, sf_dir):
     df = active_installment_q(spark, sf_dir)
-    root = scratch_path(spark, "mart_roundtrip", hashlib.sha256(sf_dir.encode()).hexdigest()[:16])
+    root = scratch_path(spark, "mart_roundtrip", uuid.uuid4().hex)  # calls never share a folder
     out = sink.write_table(df, root, "active_installment", SINK_DATE, SINK_AS_OF)
     return spark.read.parquet(out).filter(F.col("extract_date") == F.lit(SINK_DATE))
 
@@ -306,6 +312,7 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "payload_key_drift": payload_key_drift,
     "payload_schema": payload_schema,
     "schema_drift": schema_drift,
+    "outer_schema_drift": outer_schema_drift,
     "sink_roundtrip": sink_roundtrip,
 }
 

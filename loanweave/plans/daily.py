@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from loanweave.operators import drift, sink
+from loanweave.operators.snapshot import rename_by_mapping
 from loanweave.plans.mart import run_mart
 from loanweave.sources import contract
 from loanweave.sources.snapshot import read_snapshot, snapshot_ready
@@ -41,29 +42,42 @@ def contract_violations(file_schema: T.StructType) -> list[str]:
 
 def run_daily(spark: SparkSession, drop_root: str, out_root: str, day: dt.date,
               as_of: dt.datetime | None = None, observed: bool = False,
-              stop_on_drift: bool = False) -> dict:
+              stop_on_drift: bool = False, payload_drift: bool = False,
+              rename: tuple[str, str] | None = None) -> dict:
     """Returns ``{"status": "waiting"}`` when the day's file has not arrived
     (or, for a directory, its writer has not committed yet),
     ``"contract_violation"`` when it does not carry the contract columns,
     ``"schema_changed"`` when ``stop_on_drift`` and its outer schema differs
-    from yesterday's; otherwise writes the drift report and every table and
-    returns their paths."""
+    from yesterday's; otherwise writes every table and returns their paths.
+
+    ``drift`` is ``"same"``, ``"changed"`` or, without yesterday's file,
+    ``"not_checked"``.  Only footers are compared before that decision; the
+    outer comparison is written as table ``schema_drift``, and with
+    ``payload_drift`` the payload schemas, which scan both snapshots, join it.
+    ``rename``: old and new column names (see ``rename_by_mapping``), applied
+    to today's file before the contract check.
+    """
     today = snapshot_file(drop_root, day)
     if not snapshot_ready(spark, today):  # absent, or still being written
-        return {"status": "waiting", "expected": today}
+        return {"status": "waiting", "expected": today, "drift": "not_checked"}
     footer = spark.read.parquet(today)
-    problems = contract_violations(footer.schema)
+    renamed = rename_by_mapping(footer, *rename) if rename else footer
+    problems = contract_violations(renamed.schema)
     if problems:
-        return {"status": "contract_violation", "snapshot": today, "problems": problems}
-    result: dict = {"status": "done", "snapshot": today}
+        return {"status": "contract_violation", "snapshot": today, "problems": problems, "drift": "not_checked"}
+    result: dict = {"status": "done", "snapshot": today, "drift": "not_checked"}
     yesterday = snapshot_file(drop_root, day - dt.timedelta(days=1))
     if snapshot_ready(spark, yesterday):
         previous = spark.read.parquet(yesterday)
-        report = drift.schema_drift(spark, previous, footer, contract.PAYLOAD_ARRAY_COLUMNS)
+        result["drift"] = "same" if previous.schema == footer.schema else "changed"
+        report = drift.outer_schema_drift(spark, previous, footer)
+        if payload_drift:
+            report = report.unionByName(drift.payload_schema_drift(previous, footer, contract.PAYLOAD_COLUMNS))
+        stop = stop_on_drift and result["drift"] == "changed"
         result["schema_drift"] = sink.write_table(report, out_root, "schema_drift", day, as_of)
-        if stop_on_drift and previous.schema != footer.schema:
+        if stop:
             result["status"] = "schema_changed"
             return result
-    snap = read_snapshot(spark, today)
+    snap = renamed.select(*contract.SNAPSHOT_SCHEMA.fieldNames()) if rename else read_snapshot(spark, today)
     result["tables"] = run_mart(spark, snap, out_root, day, as_of, observed=observed)
     return result

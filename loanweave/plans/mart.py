@@ -1,12 +1,12 @@
 """The whole mart as one Spark application.
 
-The source system runs eleven independent jobs, each re-reading the snapshot
-and re-ranking every loan.  Here the snapshot is scanned with pushdown, the
-latest-version frame is computed once (one shuffle by loan) and staged as
-parquet in the shared checkpoint folder, which cuts its lineage (a lost
-executor never forces the ranking to rerun) and lets every table read back
-only the columns it needs.  Table writes are submitted concurrently so small
-tables overlap with large ones.
+By default every table ranks the versions itself: its shuffle carries the ids,
+``loan_data`` and the one or two payloads it unpacks, never the other columns,
+and partial top-1 drops most older versions before it.  Where a snapshot holds
+many versions per loan in no order, ``shared=True`` ranks once, stages the whole
+latest frame in the shared folder and lets the tables read that; it moves all
+columns once.  Table writes are submitted concurrently so small tables overlap
+with large ones.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from loanweave.operators import sink
 from loanweave.operators.snapshot import visible
 from loanweave.plans import tables as TB
-from loanweave.session import plan_size_bytes, scratch_path, size_shuffle_partitions
+from loanweave.session import plan_size_bytes, scratch_path, sized_shuffles
+from loanweave.sources import contract
 
 Build = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]  # (snapshot, visible, latest)
 
@@ -80,18 +81,28 @@ def build_mart(spark: SparkSession, snapshot: DataFrame, observed: bool = False,
     return {name: b(snapshot, vis, lat) for name, b in builds.items()}
 
 
+def widest_table_bytes(snapshot: DataFrame, shared: bool) -> int:
+    """Catalyst's size of what the widest ranking shuffle carries."""
+    if shared:
+        return plan_size_bytes(snapshot)
+    ids = ["loan_id", "id", "published_at", "loan_data"]
+    carried = [[p] for p in contract.PAYLOAD_ARRAY_COLUMNS if not p.startswith("bankruptcy")]
+    carried.append(["bankruptcy_timeline", "bankruptcy_claims"])
+    return max(plan_size_bytes(snapshot.select(*ids, *c)) for c in carried)
+
+
 def run_mart(spark: SparkSession, snapshot: DataFrame, out_root: str,
              extract_date: dt.date, as_of: dt.datetime | None = None,
-             observed: bool = False, shared: bool = True, parallelism: int = 4) -> dict[str, str]:
+             observed: bool = False, shared: bool = False, parallelism: int = 4) -> dict[str, str]:
     """Build and write every table under ``out_root/<table>/extract_date=D``."""
-    size_shuffle_partitions(spark, plan_size_bytes(snapshot))
-    lat, staged = stage_latest(spark, snapshot) if shared else (None, None)
-    try:
-        frames = build_mart(spark, snapshot, observed=observed, latest_frame=lat)
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            futures = {name: pool.submit(sink.write_table, df, out_root, name, extract_date, as_of)
-                       for name, df in frames.items()}
-            return {name: f.result() for name, f in futures.items()}
-    finally:
-        if staged:
-            _drop_path(spark, staged)
+    with sized_shuffles(spark, widest_table_bytes(snapshot, shared)):
+        lat, staged = stage_latest(spark, snapshot) if shared else (None, None)
+        try:
+            frames = build_mart(spark, snapshot, observed=observed, latest_frame=lat)
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                futures = {name: pool.submit(sink.write_table, df, out_root, name, extract_date, as_of)
+                           for name, df in frames.items()}
+                return {name: f.result() for name, f in futures.items()}
+        finally:
+            if staged:
+                _drop_path(spark, staged)

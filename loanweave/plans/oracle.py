@@ -573,17 +573,26 @@ def _key_drift_sql() -> str:
                 f"FROM ol WHERE ({cond}){pres}")
     parts.append("SELECT 'bankruptcy_timeline', 'event_history', "
                  "count(*) FILTER (WHERE before_split), count(*) FILTER (WHERE NOT before_split) "
-                 "FROM os JOIN (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) e "
-                 "ON e.user_id = os.o_custkey")
+                 "FROM one JOIN (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) e "
+                 "ON e.user_id = one.o_custkey")
     for key in ("status", "chapter", "effective_date"):
         present = " AND e.ts IS NOT NULL" if key == "effective_date" else ""
         parts.append(f"SELECT 'bankruptcy_claims', '{key}', "
                      "count(*) FILTER (WHERE before_split), "
                      "count(*) FILTER (WHERE NOT before_split) "
-                     "FROM os JOIN events e ON e.user_id = os.o_custkey "
+                     "FROM one JOIN events e ON e.user_id = one.o_custkey "
                      f"AND e.event_type = 'signup'{present}")
-    return ("WITH os AS (SELECT o_orderkey, o_custkey, "
+    for payload, key, source in (
+            ("loan_data", "term", "o_orderkey"), ("loan_data", "loan_id", "o_custkey"),
+            ("loan_data", "loan_uuid", "o_custkey"), ("loan_data", "payment_method", "o_orderpriority"),
+            ("loan_data", "origination_state", "1"), ("loan_data", "interest_rate_schedule", "1"),
+            ("customer_information", "customer_id", "o_custkey")):
+        parts.append(f"SELECT '{payload}', '{key}', count(*) FILTER (WHERE before_split), "
+                     f"count(*) FILTER (WHERE NOT before_split) FROM os WHERE {source} IS NOT NULL")
+    return ("WITH os AS (SELECT o_orderkey, o_custkey, o_orderpriority, "
             "o_orderdate < TIMESTAMP '1998-01-01' AS before_split FROM orders),\n"
+            # a half holds a customer's events once, on the newest version
+            "one AS (SELECT DISTINCT o_custkey, before_split FROM os),\n"
             "ol AS (SELECT os.before_split, l.* FROM os JOIN lineitem l "
             "ON l.l_orderkey = os.o_orderkey),\n"
             "c AS (" + "\nUNION ALL\n".join(parts) + ")\n"
@@ -594,4 +603,27 @@ def _key_drift_sql() -> str:
 
 OPERATORS["payload_key_drift"] = _key_drift_sql()
 
+# Outer columns of the two drift halves, as (name, type before,
+# type after, status); a column after the removed one moves by one place.
+_OUTER = [
+    ("loan_id", "string", "string", "same"), ("id", "string", "string", "same"), ("dark", "boolean", "boolean", "same"),
+    ("published_at", "timestamp_ntz", "timestamp_ntz", "same"),
+    ("portfolios_created_at", "timestamp_ntz", "timestamp_ntz", "same"),
+    ("accounts_created_at", "timestamp_ntz", "timestamp_ntz", "same"),
+    ("accounts_updated_at", "timestamp_ntz", "timestamp_ntz", "same"),
+    ("accounts_build_end_time", "timestamp_ntz", None, "removed"),
+    ("servicing_account_id", "string", "string", "position_changed"),
+    ("etl_ingestion_time", "timestamp_ntz", "date", "type_changed"),
+    ("source_file_creation_time", "timestamp_ntz", "timestamp_ntz", "position_changed"),
+    *[(c, "string", "string", "position_changed") for c in (
+        "loan_data", "customer_information", "sale_info", "settlements", "installments", "bankruptcy_timeline",
+        "bankruptcy_claims", "collection_cases", "financial_owners", "operational_charge_offs", "original_installments",
+        "treasury_charge_offs", "payment_plans")],
+    ("servicing_region", None, "string", "added"), ("*", None, None, "different"),
+]
+OPERATORS["outer_schema_drift"] = (
+    "SELECT 'column' AS kind, name AS \"column\", before_type, after_type, status FROM (VALUES "
+    + ", ".join("(" + ", ".join("CAST(NULL AS VARCHAR)" if v is None else f"'{v}'" for v in row) + ")" for row in _OUTER)
+    + ") t(name, before_type, after_type, status)")
+
 ORACLE_SQL: dict[str, str] = {**TABLES, **OBSERVED, **OPERATORS}

@@ -20,11 +20,12 @@ from pyspark.sql import types as T
 
 from loanweave.functions import casts
 from loanweave.functions.json import (
-    array_or_object, first_event_date, parse_array, parse_object,
+    element_count, first_event_date, parse_array, parse_object,
 )
 from loanweave.functions.keys import surrogate_key
 from loanweave.operators.payload import explode_elements, fan_out, values_at
 from loanweave.operators.snapshot import latest_per_key, non_empty, visible
+from loanweave.session import stage
 from loanweave.sources import contract as C
 
 OBSERVED_MONEY = "decimal(10,0)"
@@ -45,10 +46,6 @@ def _ntz(df: DataFrame) -> DataFrame:
         else F.col(f.name) for f in df.schema.fields])
 
 
-def _key_col(part: str) -> Column:
-    return F.col(part)
-
-
 # ---------------------------------------------------------------------------
 # Uniform payload tables (debt sale, settlement, active installment,
 # collection case, financial owner, operational / treasury charge-off,
@@ -83,6 +80,7 @@ def _fixed(ddl: str) -> Callable[[str], str]:
     return lambda money: ddl
 
 
+# Source fields and published columns of each table.
 PAYLOAD_TABLES: dict[str, PayloadTable] = {t.name: t for t in [
     PayloadTable(
         name="loan_debt_sale", payload="sale_info", element_ddl=_fixed(C.SALE_INFO),
@@ -212,7 +210,7 @@ PAYLOAD_TABLES: dict[str, PayloadTable] = {t.name: t for t in [
 def _finish(df: DataFrame, spec: PayloadTable, key: tuple[str, ...]) -> DataFrame:
     df = _ntz(df)
     if spec.key_name:
-        df = df.withColumn(spec.key_name, surrogate_key(*[_key_col(p) for p in key]))
+        df = df.withColumn(spec.key_name, surrogate_key(*key))
     df = df.select(*spec.output)
     return df.dropDuplicates() if spec.distinct else df
 
@@ -250,7 +248,9 @@ def payload_table_observed(visible_frame: DataFrame, latest_frame: DataFrame,
                      F.col("id").alias("_snapshot_id"), *spec.snapshot_cols,
                      *([F.col(fan_col)] if fan_col else []),
                      *values_at(parsed, spec.fields, o.index))
-    if fan_col:
+    if fan_col and spec.distinct:  # copies would be removed again: only whether there is one matters
+        df = df.filter(element_count(fan_col) > 0).drop(fan_col)
+    elif fan_col:
         df = fan_out(df, fan_col).drop(fan_col)
     return _finish(df, spec, o.key or spec.key)
 
@@ -259,6 +259,7 @@ def payload_table_observed(visible_frame: DataFrame, latest_frame: DataFrame,
 # Bankruptcy (timeline entries and claims)
 # ---------------------------------------------------------------------------
 
+# Published columns.
 BANKRUPTCY_OUTPUT = ("loan_id", "loan_uuid", "claimed_date", "petitioned_date",
                      "discharged_date", "bankruptcy_uuid", "chapter", "status")
 
@@ -340,6 +341,7 @@ def bankruptcy_observed(frame: DataFrame) -> DataFrame:
 # Interest rate schedule
 # ---------------------------------------------------------------------------
 
+# Published columns.
 INTEREST_RATE_OUTPUT = ("loan_id", "loan_uuid", "interest_rate", "effective_date",
                         "interest_rate_uuid", "interest_rate_id", "inactive_flag",
                         "created_time", "updated_time", "source_type", "source_uuid",
@@ -393,13 +395,17 @@ def interest_rate_observed(visible_frame: DataFrame) -> DataFrame:
     A loan without any entry has one NULL rate/date row with
     ``row_count = version_count``.  The per-version side is
     :func:`interest_rate_observed_versions`.  Both sides are aggregated per
-    key before they meet, so a hot loan never multiplies inside a task.
+    key before they meet, so a hot loan never multiplies inside a task.  Both
+    aggregates are staged: each is computed once, and joining scans of them
+    leaves no aggregate between a shuffle and the join, so AQE can split a
+    loan with very many entries.
     """
-    entries = (_pooled_schedule(visible_frame)
+    entries = stage(_pooled_schedule(visible_frame)
                .groupBy("json_loan_id", F.col("e")["interest_rate"].alias("interest_rate"),
                         F.col("e")["effective_date"].alias("effective_date"))
-               .agg(F.count(F.lit(1)).alias("entry_count")))
-    versions = visible_frame.groupBy("loan_id").agg(F.count(F.lit(1)).alias("version_count"))
+               .agg(F.count(F.lit(1)).alias("entry_count")), "rate_entries")
+    versions = stage(visible_frame.groupBy("loan_id").agg(F.count(F.lit(1)).alias("version_count")),
+                     "loan_versions")
     # Inner join for loans with entries: AQE may split a skewed partition on
     # either side of an inner join (not the optional side of an outer join).
     with_entries = versions.join(entries, versions.loan_id == entries.json_loan_id, "inner")
@@ -428,14 +434,15 @@ def interest_rate_observed_versions(visible_frame: DataFrame) -> DataFrame:
     """Per visible version: the snapshot-side columns of the source's product
     and ``schedule_rows``, the number of schedule entries it is paired with
     (its rows in the product are ``greatest(schedule_rows, 1)``)."""
-    pooled = (_pooled_schedule(visible_frame).groupBy("json_loan_id")
-              .agg(F.count(F.lit(1)).alias("schedule_rows")))
+    pooled = stage(_pooled_schedule(visible_frame).groupBy("json_loan_id")
+                   .agg(F.count(F.lit(1)).alias("schedule_rows")), "schedule_rows")
     ld = parse_object("loan_data", _LOAN_IDS)
     v = visible_frame.withColumnsRenamed(INTEREST_RATE_RENAMES).select(
         "loan_id", "id", ld["loan_uuid"].alias("loan_uuid"), "created_time", "updated_time",
         "end_date")
     # The left side is one row per version, so a hot loan sits on the side
-    # AQE can split; the right side is one row per loan.
+    # AQE can split; the right side is a staged row per loan (an aggregate
+    # above its shuffle would keep AQE from splitting either side).
     j = v.alias("v").join(pooled.alias("p"), F.col("v.loan_id") == F.col("p.json_loan_id"), "left")
     return j.select("v.*", F.coalesce(F.col("p.schedule_rows"), F.lit(0)).alias("schedule_rows"))
 
@@ -444,6 +451,7 @@ def interest_rate_observed_versions(visible_frame: DataFrame) -> DataFrame:
 # Payment plans
 # ---------------------------------------------------------------------------
 
+# Published columns.
 PAYMENT_PLAN_OUTPUT = (
     "loan_id", "loan_uuid", "payment_method", "customer_id", "grace_period_days", "status",
     "lock_in_date", "total_amount", "payment_amount", "adjusted_end_date",
@@ -479,10 +487,8 @@ def payment_plan(snapshot: DataFrame) -> DataFrame:
             .withColumn("json_loan_id", F.col("ld")["loan_id"]))
     top = latest_per_key(base, "json_loan_id", ("portfolios_created_at", "id"))
     plan_ddl = ", ".join(f"{f} string" for f in C.PAYMENT_PLAN_FIELDS)
-    rows = top.select("*", F.explode(array_or_object("payment_plans")).alias("plan_text"))
-    p = F.from_json(F.col("plan_text"), plan_ddl)
-    rows = rows.select("ld", "customer_id_text", "etl_ingestion_time",
-                       "source_file_creation_time", p.alias("p"))
+    rows = top.select("ld", "customer_id_text", "etl_ingestion_time", "source_file_creation_time",
+                      F.explode(parse_array("payment_plans", plan_ddl)).alias("p"))
 
     t = lambda f: F.col("p")[f]  # noqa: E731  (original text of a plan field)
     plan_type, status = t("plan_type"), t("status")

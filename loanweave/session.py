@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps are hashed as text and payload times are parsed without a zone;
 # pinning the session zone keeps both reproducible across clusters.
@@ -55,48 +58,64 @@ _LOCAL_CHECKPOINT_DIR: str | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staging tables.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is.  Only when it is unset (tests, local runs) a scratch folder is made.
+    ``spark.checkpoint.dir`` names shared storage and is used as is.  Only a
+    local master may leave it unset (tests, one machine) and gets a scratch
+    folder; on a cluster executors could not see such a folder, so that is an
+    error.
     """
     global _LOCAL_CHECKPOINT_DIR
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is not set and the master is {master}: "
+                               "name a folder that all executors share")
         if _LOCAL_CHECKPOINT_DIR is None:
             _LOCAL_CHECKPOINT_DIR = tempfile.mkdtemp(prefix="loanweave-ckpt-")
         d = _LOCAL_CHECKPOINT_DIR
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - some sessions reject core confs at runtime
-            pass
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back: a lineage cut
+    that survives lost executors, and a scan whose joins AQE can split."""
+    path = scratch_path(df.sparkSession, "staging", f"{label}_{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Shuffle sizing: in-memory rows of JSON-heavy snapshots are several times
 # their compressed parquet size; aim for ~128 MB shuffle partitions.
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
 IN_MEMORY_EXPANSION = 4.0
-# Beyond this, per-partition overhead (map-status metadata, shuffle fetches
-# per reducer) outweighs smaller partitions; the estimate above is of the
-# whole snapshot, while each shuffle carries only its pruned columns.
-MAX_SHUFFLE_PARTITIONS = 50_000
-
-
-def size_shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
-    """Raise AQE's initial shuffle partition count so partitions stay near
-    SHUFFLE_TARGET_BYTES for an input of ``input_bytes`` (AQE coalesces small
-    partitions afterwards but never splits large ones).  Never lowers a
-    larger setting; returns the count in force."""
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = math.ceil(input_bytes * IN_MEMORY_EXPANSION / SHUFFLE_TARGET_BYTES)
-    wanted = min(MAX_SHUFFLE_PARTITIONS, max(wanted, spark.sparkContext.defaultParallelism))
-    if wanted > current:
-        spark.conf.set(key, str(wanted))
-        return wanted
-    return current
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_partitions_for(spark: SparkSession, carried_bytes: int) -> int:
+    """Shuffle partitions that keep each near SHUFFLE_TARGET_BYTES when a
+    shuffle carries ``carried_bytes``; never fewer than the session's own."""
+    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = math.ceil(carried_bytes * IN_MEMORY_EXPANSION / SHUFFLE_TARGET_BYTES)
+    return max(wanted, current, spark.sparkContext.defaultParallelism)
+
+
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, carried_bytes: int) -> Iterator[int]:
+    """AQE's initial shuffle partition count for the jobs run inside, put back
+    afterwards (AQE coalesces small partitions but never splits large ones)."""
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    n = shuffle_partitions_for(spark, carried_bytes)
+    spark.conf.set(INITIAL_PARTITIONS, str(n))
+    try:
+        yield n
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 def plan_size_bytes(df) -> int:

@@ -49,6 +49,7 @@ PAYLOAD_ARRAY_COLUMNS = [
     "payment_plans",
 ]
 PAYLOAD_OBJECT_COLUMNS = ["loan_data", "customer_information"]
+PAYLOAD_COLUMNS = PAYLOAD_OBJECT_COLUMNS + PAYLOAD_ARRAY_COLUMNS
 
 # ---------------------------------------------------------------------------
 # Element schemas of the JSON payloads (field names, order and
@@ -134,7 +135,7 @@ TREASURY_CHARGE_OFFS = (
     "revertible boolean"
 )
 
-# Payment plans are read field by field as text.
+# Payment plan fields, read one by one as text.
 PAYMENT_PLAN_FIELDS = [
     "status", "lock_in_date", "total_amount", "payment_amount", "adjusted_end_date",
     "first_payment_date", "early_terminate_date", "adjusted_lock_in_date", "tdr",

@@ -71,17 +71,31 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     rows reach the exchange instead of 68k); the secondary range key spreads
     a loan with very many versions over several partitions.  Parquet min/max
     statistics on ``loan_id`` also let readers skip files."""
-    (df.select(*contract.SNAPSHOT_SCHEMA.fieldNames())
-       .repartitionByRange("loan_id", "published_at")
+    (df.repartitionByRange("loan_id", "published_at")
        .sortWithinPartitions("loan_id", "published_at", "id")
        .write.mode("overwrite").parquet(path))
 
 
-def portfolio_snapshot(spark: SparkSession, sf_dir: str, half: str | None = None) -> DataFrame:
-    """The snapshot derived from ``sf_dir``, staged on first use."""
+def portfolio_file(spark: SparkSession, sf_dir: str, half: str | None = None) -> str:
+    """Path of the snapshot derived from ``sf_dir``, staged on first use.
+    ``half`` = ``"drifted"`` is the ``"after"`` half under changed outer columns."""
     prepare_session(spark)
     path = scratch_path(spark, "snapshots", f"portfolio_{_fingerprint(spark, sf_dir, half)}.parquet")
+    after = portfolio_snapshot(spark, sf_dir, "after") if half == "drifted" else None
     with _STAGING_LOCK:
         if not path_exists(spark, f"{path}/_SUCCESS"):
-            write_snapshot(fixture.build_snapshot(spark, sf_dir, half), path)
-    return read_snapshot(spark, path)
+            if after is not None:
+                fixture.redefine_outer(after).write.mode("overwrite").parquet(path)
+            else:
+                write_snapshot(fixture.build_snapshot(spark, sf_dir, half), path)
+    return path
+
+
+def portfolio_snapshot(spark: SparkSession, sf_dir: str, half: str | None = None) -> DataFrame:
+    """The staged snapshot under the contract schema."""
+    return read_snapshot(spark, portfolio_file(spark, sf_dir, half))
+
+
+def portfolio_footer(spark: SparkSession, sf_dir: str, half: str | None = None) -> DataFrame:
+    """The staged snapshot under its own file schema, whatever the contract says."""
+    return spark.read.parquet(portfolio_file(spark, sf_dir, half))

@@ -25,8 +25,9 @@ def test_run_daily(spark):
     drops, out = _drops(spark), tempfile.mkdtemp(prefix="mart-")
     assert run_daily(spark, drops, out, dt.date(2024, 3, 5))["status"] == "waiting"
     first = run_daily(spark, drops, out, D1)
-    assert first["status"] == "done" and "schema_drift" not in first
-    second = run_daily(spark, drops, out, D2)
+    assert first["status"] == "done" and "schema_drift" not in first and first["drift"] == "not_checked"
+    second = run_daily(spark, drops, out, D2, payload_drift=True)
+    assert second["drift"] == "same"
     drift = spark.read.parquet(second["schema_drift"]).collect()
     assert {r.column: r.status for r in drift if r.kind == "payload"}["installments"] == "type_changed"
     ai = spark.read.parquet(os.path.join(out, "active_installment"))
@@ -65,9 +66,53 @@ def test_run_daily_contract_and_drift_gates(spark):
     # broken D2 file): the drift report names the column D2 lacked
     D3 = D2 + dt.timedelta(days=1)
     snap.withColumn("extra", F.lit(1)).write.parquet(snapshot_file(root, D3))
-    r3 = run_daily(spark, root, out, D3, stop_on_drift=True)
-    assert r3["status"] == "schema_changed" and "tables" not in r3
+    r3 = run_daily(spark, root, out, D3, stop_on_drift=True, payload_drift=True)
+    assert r3["status"] == "schema_changed" and "tables" not in r3 and r3["drift"] == "changed"
     rep = {(r.kind, r.column): r.status for r in spark.read.parquet(r3["schema_drift"]).collect()}
     assert rep[("column", "payment_plans")] == "added"
     assert rep[("payload", "payment_plans")] == "added"
     assert rep[("column", "extra")] == "position_changed"  # payment_plans came back before it
+
+
+def test_run_daily_renames_before_the_contract_check(spark):
+    root, out = tempfile.mkdtemp(prefix="drops-"), tempfile.mkdtemp(prefix="mart-")
+    snap = build_snapshot(spark, SF_SMALL, "before")
+    snap.withColumnRenamed("dark", "is_hidden").write.parquet(snapshot_file(root, D1))
+    assert run_daily(spark, root, out, D1)["status"] == "contract_violation"
+    r = run_daily(spark, root, out, D1, rename=("is_hidden", "dark"))
+    assert r["status"] == "done" and spark.read.parquet(r["tables"]["active_installment"]).count() > 0
+
+
+def test_watcher_leaves_a_date_alone_when_a_file_breaks_the_contract(spark):
+    root, out = tempfile.mkdtemp(prefix="drops-"), tempfile.mkdtemp(prefix="mart-")
+    snap = build_snapshot(spark, SF_SMALL, "before")
+    write_snapshot(snap, snapshot_file(root, D1))
+    ckpt = tempfile.mkdtemp(prefix="stream-")
+    watch_drops(spark, root, out, checkpoint=ckpt).awaitTermination(600)
+    table = os.path.join(out, "active_installment")
+    n = spark.read.parquet(table).count()
+    again = tempfile.mkdtemp(prefix="drops-")
+    snap.drop("dark").write.parquet(snapshot_file(again, D1))
+    watch_drops(spark, again, out, checkpoint=tempfile.mkdtemp(prefix="stream-")).awaitTermination(600)
+    assert spark.read.parquet(table).count() == n > 0
+    status = spark.read.parquet(os.path.join(out, "drop_status")).collect()
+    assert [(r.status, list(r.problems)) for r in status] == [("contract_violation", ["missing dark"])]
+
+
+def test_pending_list_survives_a_crash_and_a_late_marker_needs_no_drop(spark):
+    from loanweave.streaming import drops as S
+    root, out = tempfile.mkdtemp(prefix="drops-"), tempfile.mkdtemp(prefix="mart-")
+    ckpt = tempfile.mkdtemp(prefix="stream-")
+    folder = snapshot_file(root, D1)
+    write_snapshot(build_snapshot(spark, SF_SMALL, "before"), folder)
+    os.remove(os.path.join(folder, "_SUCCESS"))
+    watch_drops(spark, root, out, checkpoint=ckpt).awaitTermination(600)
+    waiting = S._read_pending(spark, ckpt)
+    assert [d for _, d in waiting] == [D1]
+    # A newer list whose write died half way is not trusted; the old one is still there.
+    os.makedirs(os.path.join(ckpt, "pending_snapshots", "v=99"))
+    assert S._read_pending(spark, ckpt) == waiting
+    open(os.path.join(folder, "_SUCCESS"), "w").close()  # the marker comes late, without a data file
+    watch_drops(spark, root, out, checkpoint=ckpt).awaitTermination(600)
+    assert spark.read.parquet(os.path.join(out, "active_installment")).count() > 0
+    assert S._read_pending(spark, ckpt) == set()

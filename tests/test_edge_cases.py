@@ -226,3 +226,22 @@ def test_payload_key_counts_shapes(spark):
               {"id": "6", "installments": "[]"})
     got = {(r.payload, r.key): r.n for r in payload_key_counts(df, ["installments"]).collect()}
     assert got == {("installments", "id"): 4, ("installments", "x"): 1, ("installments", "y"): 1}
+
+
+def test_element_that_is_no_object_leaves_its_siblings(spark):
+    df = snap(spark, {"installments": '[{"id":"a"},{"id":"b"},7]', "bankruptcy_claims": '[{"status":"s"},"x"]'})
+    lat = TB.latest(df)
+    rows = TB.payload_table(lat, TB.PAYLOAD_TABLES["active_installment"]).collect()
+    assert len(rows) == 3 and TB.bankruptcy(lat).count() == 2
+
+
+def test_key_of_a_null_id_is_null(spark):
+    df = snap(spark, {"installments": '[{"interest_amount":1.0},{"id":"b"}]'})
+    rows = TB.payload_table(TB.latest(df), TB.PAYLOAD_TABLES["active_installment"]).collect()
+    assert sorted((r.active_installment_uuid is None for r in rows)) == [False, True]
+
+
+def test_to_int_takes_no_exponent(spark):
+    from loanweave.functions.casts import to_int
+    df = spark.createDataFrame([("1e3",), ("12.0",), ("12.9",), (" 7 ",), ("x",), ("-3.",), (None,), ("1E2",)], "s string")
+    assert [r.x for r in df.select(to_int(F.col("s")).alias("x")).collect()] == [None, 12, 12, 7, None, -3, None, None]

@@ -65,23 +65,62 @@ def test_drift_reports_added_and_removed_key(spark):
     assert status["id"] == "kept"
     sd = {(r.kind, r.column): r.status for r in QUERIES["schema_drift"](spark, SF_SMALL).collect()}
     assert sd[("payload", "installments")] == "type_changed"
-    assert sd[("column", "*")] == "is_identical"
-
-
-def test_shuffle_partitions_sized_from_input(spark):
-    from loanweave.session import plan_size_bytes, size_shuffle_partitions
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    before = spark.conf.get(key, None)
-    try:
-        assert size_shuffle_partitions(spark, 1) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n = size_shuffle_partitions(spark, 100 * 1024 ** 4)  # 100 TB snapshot
-        assert n == 50_000 and spark.conf.get(key) == "50000"
-        assert plan_size_bytes(portfolio_snapshot(spark, SF_SMALL)) > 0
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    assert sd[("payload", "loan_data")] == "same" and sd[("payload", "customer_information")] == "same"
+    # The halves are compared by their own footers.
+    assert sd[("column", "*")] == "different" and sd[("column", "loan_id")] == "same"
+    assert (sd[("column", "servicing_region")], sd[("column", "accounts_build_end_time")],
+            sd[("column", "etl_ingestion_time")]) == ("added", "removed", "type_changed")
+
+
+def test_shuffle_partitions_sized_per_job(spark):
+    from loanweave.plans.mart import widest_table_bytes
+    from loanweave.session import INITIAL_PARTITIONS, shuffle_partitions_for, sized_shuffles
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    assert shuffle_partitions_for(spark, 1) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with sized_shuffles(spark, 100 * 1024 ** 4) as n:  # 100 TB carried: no cap
+        assert n * 128 * 1024 ** 2 >= 4 * 100 * 1024 ** 4
+        assert spark.conf.get(INITIAL_PARTITIONS) == str(n)
+    assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+    snap = portfolio_snapshot(spark, SF_SMALL)
+    assert 0 < widest_table_bytes(snap, shared=False) < widest_table_bytes(snap, shared=True)
+
+
+def test_mart_shuffles_carry_ids_and_one_payload(spark):
+    """No ranking shuffle of the default mart carries columns its table does not use."""
+    from loanweave.plans.mart import build_mart
+    from loanweave.sources import contract
+    for name, df in build_mart(spark, portfolio_snapshot(spark, SF_SMALL), observed=True).items():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        for line in plan.splitlines():
+            if "Relation [" in line or "Project [" not in line:
+                continue
+            payloads = [p for p in contract.PAYLOAD_ARRAY_COLUMNS if re.search(rf"(\[|, ){p}#", line)]
+            assert len(payloads) <= 2, (name, line)
+            assert len(payloads) < 2 or set(payloads) in (
+                {"bankruptcy_timeline", "bankruptcy_claims"}, {"sale_info", "financial_owners"},
+                {"settlements", "financial_owners"}), (name, line)
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    import pytest
+    from loanweave.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
 
 
 def test_half_written_staged_snapshot_is_rebuilt(spark):

@@ -5,6 +5,8 @@ import datetime as dt
 import json
 
 import pytest
+import tempfile
+
 from pyspark.sql import functions as F
 
 from loanweave.operators.snapshot import visible
@@ -78,3 +80,36 @@ def test_payment_plan_one_loan_one_version_under_skew(skewed):
     plan = TB.payment_plan(skewed)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_hot_loan_is_split_in_both_rate_joins(spark, skewed):
+    """With broadcasts off and small thresholds the final plans split the hot loan."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "16k",
+            "spark.sql.files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    path = tempfile.mkdtemp(prefix="skewed-") + "/s"
+    hot = [("HOT", f"{r:.3f}", f"2024-01-{1 + k:02d}") for r in range(900) for k in range(9)]
+    cold = [(f"c{i}", "1.000", "2024-01-01") for i in range(60)]
+    by = {}
+    for loan, rate, day in hot + cold:
+        by.setdefault(loan, []).append({"interest_rate": rate, "effective_date": day})
+    import json
+    rows = [(loan, f"{loan}-{i}", json.dumps({"loan_id": loan, "loan_uuid": loan, "interest_rate_schedule": s[i::60] or s[:1]}))
+            for loan, s in by.items() for i in range(60 if loan == "HOT" else 1)] + [
+                ("HOT", f"HOT-x{i}", json.dumps({"loan_id": "HOT", "loan_uuid": "HOT", "interest_rate_schedule": []})) for i in range(3000)]
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        spark.createDataFrame(rows, "loan_id string, id string, loan_data string").repartition(16).write.parquet(path)
+        frame = spark.read.parquet(path)
+        for name in ("accounts_created_at", "accounts_updated_at", "accounts_build_end_time"):
+            frame = frame.withColumn(name, F.lit(None).cast("timestamp_ntz"))
+        for build in (TB.interest_rate_observed, TB.interest_rate_observed_versions):
+            df = build(frame)
+            df.collect()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString(), build.__name__
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
