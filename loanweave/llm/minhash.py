@@ -274,7 +274,20 @@ def _block_links(members: DataFrame, docs: _Bucketed, k: int, percent: int) -> D
         sig = _sig_matrix(t["sig"].combine_chunks())
         bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         texts = t["text"].combine_chunks()
-        sets: dict[int, frozenset] = {}
+        rows, cols = np.flatnonzero(probe), np.flatnonzero(~probe)
+        survivors = []
+        for i in rows.tolist():
+            j = cols[(cx[cols] != cx[i]) & (~out[cols] | (x[cols] > x[i]))
+                     & (100 * np.minimum(n[cols], n[i]) >= percent * np.maximum(n[cols], n[i]))]
+            if len(j):  # a pair is taken in the first band that its members share
+                j = j[bands[i][(bands[j] == bands[i]).argmax(axis=1)] == band_key]
+            if len(j):
+                j = j[similar_enough(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j], least)]
+            if len(j):
+                agree = (sig[j] == sig[i]).sum(axis=1)
+                survivors.append((i, j[np.argsort(-agree, kind="stable")]))
+        need = np.unique(np.concatenate([np.concatenate(([i], j)) for i, j in survivors])) if survivors else rows[:0]
+        sets = dict(zip(need.tolist(), shingle_sets(texts.take(pa.array(need)), k)))
         root = {c: c for c in cx.tolist()}
 
         def find(c):
@@ -283,24 +296,12 @@ def _block_links(members: DataFrame, docs: _Bucketed, k: int, percent: int) -> D
                 c = root[c]
             return c
 
-        def shingles(i: int) -> frozenset:
-            if i not in sets:
-                sets[i] = frozenset(shingle_sets(texts.slice(i, 1), k)[0].tolist())
-            return sets[i]
-
-        rows, cols = np.flatnonzero(probe), np.flatnonzero(~probe)
         found = []
-        for i in rows.tolist():
-            j = cols[(cx[cols] != cx[i]) & (~out[cols] | (x[cols] > x[i]))
-                     & (100 * np.minimum(n[cols], n[i]) >= percent * np.maximum(n[cols], n[i]))]
-            if len(j):
-                j = j[similar_enough(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j], least)]
-            if len(j):  # a pair is taken in the first band that its members share
-                j = j[bands[i][(bands[j] == bands[i]).argmax(axis=1)] == band_key]
-            for m in j[np.argsort(-(sig[j] == sig[i]).sum(axis=1), kind="stable")].tolist():
+        for i, js in survivors:
+            for m in js.tolist():
                 a, b = find(cx[i]), find(cx[m])
                 if a != b:
-                    both = len(shingles(i) & shingles(m))
+                    both = len(np.intersect1d(sets[i], sets[m], assume_unique=True))
                     if 100 * both >= percent * (n[i] + n[m] - both):
                         root[max(a, b)] = min(a, b)
                         found.append((min(x[i], x[m]), max(x[i], x[m])))
