@@ -40,7 +40,9 @@ THRESHOLD = 0.9
 SHARD_ROWS = 32768
 QUERY_ROWS = 16384
 DEGREE = 24
-BEAM = 48
+REVERSE = 12  # places for reverse edges
+BEAM = 24
+UPPER_BEAM = 8  # above the lowest level
 EXPAND = 4
 LANES = 512
 AUDIT = 96
@@ -71,7 +73,7 @@ def _nearest(v: np.ndarray, rows: np.ndarray, pool: np.ndarray, k: int) -> np.nd
         r = rows[at:at + 512]
         sim = v[r] @ v[pool].T
         sim[pool[None, :] == r[:, None]] = -2
-        best = np.argpartition(-sim, m - 1, axis=1)[:, :m]
+        best = np.argpartition(sim, sim.shape[1] - m, axis=1)[:, -m:]
         out[at:at + 512, :m] = pool[best]
     return out
 
@@ -89,7 +91,7 @@ def _thin(v: np.ndarray, rows: np.ndarray, cand: np.ndarray, degree: int) -> np.
         order = np.argsort(-sim, axis=1)
         c, sim = np.take_along_axis(c, order, 1), np.take_along_axis(sim, order, 1)
         x = np.take_along_axis(x, order[:, :, None], 1)
-        among = np.einsum("nid,njd->nij", x, x)
+        among = x @ x.transpose(0, 2, 1)
         taken = np.zeros(c.shape, bool)
         for j in range(c.shape[1]):
             near = np.where(taken, among[:, j, :], -3).max(axis=1)
@@ -121,7 +123,7 @@ class Graph:
 
     @staticmethod
     def _both_ways(n: int, nodes: np.ndarray, near: np.ndarray, degree: int) -> np.ndarray:
-        """Add the reverse of each edge, as far as ``degree`` more places go."""
+        """Add the reverse of each edge, as far as ``REVERSE`` more places go."""
         src = np.repeat(nodes, near.shape[1])
         dst = near.ravel()
         src, dst = src[dst >= 0], dst[dst >= 0]
@@ -129,9 +131,9 @@ class Graph:
         src, dst = src[order], dst[order]
         begin = np.searchsorted(dst, dst)
         rank = np.arange(len(dst)) - begin
-        out = np.full((n, 2 * degree), -1, np.int32)
+        out = np.full((n, degree + REVERSE), -1, np.int32)
         out[nodes, :degree] = near
-        fits = rank < degree
+        fits = rank < REVERSE
         out[dst[fits], degree + rank[fits]] = src[fits]
         return out
 
@@ -155,7 +157,7 @@ class Graph:
             if not len(live):
                 break
             e = max(EXPAND, ef // 64)
-            pick = np.argpartition(-open_sim, e - 1, axis=1)[:, :e]
+            pick = np.argpartition(open_sim, open_sim.shape[1] - e, axis=1)[:, -e:]
             real = np.take_along_axis(open_sim, pick, 1) > -9
             done[live[:, None], pick] = True
             node = np.where(real, ids[live[:, None], pick], -1)
@@ -171,7 +173,7 @@ class Graph:
             all_ids = np.concatenate((ids[live], new), axis=1)
             all_sim = np.concatenate((sim[live], s), axis=1)
             all_done = np.concatenate((done[live], new < 0), axis=1)
-            keep = np.argpartition(-all_sim, ef - 1, axis=1)[:, :ef]
+            keep = np.argpartition(all_sim, all_sim.shape[1] - ef, axis=1)[:, -ef:]
             ids[live] = np.take_along_axis(all_ids, keep, 1)
             sim[live] = np.take_along_axis(all_sim, keep, 1)
             done[live] = np.take_along_axis(all_done, keep, 1)
@@ -182,7 +184,7 @@ class Graph:
         first = np.flatnonzero(self.level >= top)[:32].astype(np.int32)
         entry = np.repeat(first[None, :], len(q), axis=0)
         for lev in range(top, 0, -1):
-            ids, sim = self._beam(self.edges[lev], q, entry, 24)
+            ids, sim = self._beam(self.edges[lev], q, entry, UPPER_BEAM)
             entry = np.take_along_axis(ids, np.argsort(-sim, axis=1), 1)
         return self._beam(self.edges[0], q, entry, ef)
 
@@ -297,7 +299,7 @@ def link_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows
             level = np.array([len(x) - 1 for x in stored])
             edges = []
             for lev in range(int(level.max()) + 1):
-                adj = np.full((len(stored), 2 * DEGREE), -1, np.int32)
+                adj = np.full((len(stored), DEGREE + REVERSE), -1, np.int32)
                 for k in np.flatnonzero(level >= lev):
                     adj[k] = np.frombuffer(stored[k][lev], np.int32)
                 edges.append(adj)
