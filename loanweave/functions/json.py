@@ -38,6 +38,14 @@ def element_count(c: Column | str) -> Column:
     return F.json_array_length(_c(c))
 
 
+def element_rows(c: Column | str) -> Column:
+    """``size(parse_array(c))`` without building the structs: the elements of
+    an array, 1 for a lone object, 0 for anything else."""
+    c = _c(c)
+    lone = F.when(F.json_object_keys(c).isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    return F.when(c.rlike(r"^\s*\{"), lone).otherwise(F.coalesce(F.json_array_length(c), F.lit(0)))
+
+
 def array_or_object(c: Column | str) -> Column:
     """Array of element texts: an array gives its elements, an object gives
     itself, ``'[]'``/NULL/scalars/malformed give NULL."""

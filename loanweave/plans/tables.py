@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from loanweave.functions import casts
 from loanweave.functions.json import (
-    element_count, first_event_date, parse_array, parse_object,
+    element_count, element_rows, first_event_date, parse_array, parse_object,
 )
 from loanweave.functions.keys import surrogate_key
 from loanweave.operators.payload import explode_elements, fan_out, values_at
@@ -555,8 +555,8 @@ def _size0(arr: Column) -> Column:
 def generated_row_counts(snapshot: DataFrame) -> DataFrame:
     """``(table_name, n_rows)`` of every table that is one generator over the
     latest frame.  A generator emits exactly as many rows as the array it
-    explodes holds (the same expressions the builds explode), so each count
-    is a sum of array sizes over the latest versions.  The sizes are computed
+    explodes holds, so each count is a sum of array sizes over the latest
+    versions; the sizes are taken from the texts without building elements.  The sizes are computed
     per version *before* the ranking, so the ranking shuffle carries ids and
     a few integers instead of payload text.  Covers the uniform payload
     tables without a ``distinct``, bankruptcy and the interest-rate schedule
@@ -564,12 +564,12 @@ def generated_row_counts(snapshot: DataFrame) -> DataFrame:
     sums = {}
     for name, spec in PAYLOAD_TABLES.items():
         if not spec.distinct:
-            sums[name] = _size0(parse_array(spec.payload, spec.element_ddl(ELEMENT_MONEY)))
+            sums[name] = element_rows(spec.payload)
     has_payload = (F.col("bankruptcy_timeline") != "[]") | (F.col("bankruptcy_claims") != "[]")
     sums["bankruptcy"] = F.when(
         has_payload,
         _size0(timeline_entries(F.col("bankruptcy_timeline")))
-        + _size0(parse_array("bankruptcy_claims", C.BANKRUPTCY_CLAIMS))).otherwise(0)
+        + element_rows("bankruptcy_claims")).otherwise(0)
     schedule = parse_object("loan_data", C.LOAN_DATA)["interest_rate_schedule"]
     sums["interest_rate"] = F.greatest(_size0(schedule), F.lit(1))
     sizes = visible(snapshot).select("loan_id", "published_at", "id",

@@ -245,3 +245,11 @@ def test_to_int_takes_no_exponent(spark):
     from loanweave.functions.casts import to_int
     df = spark.createDataFrame([("1e3",), ("12.0",), ("12.9",), (" 7 ",), ("x",), ("-3.",), (None,), ("1E2",)], "s string")
     assert [r.x for r in df.select(to_int(F.col("s")).alias("x")).collect()] == [None, 12, 12, 7, None, -3, None, None]
+
+
+def test_element_rows_equals_the_parsed_size(spark):
+    from loanweave.functions.json import element_rows, parse_array
+    texts = ["[]", "[{}]", '[{"id":"a"},7,null]', '{"id":"a"}', ' {"id":1}', "{bad", "[1,", "5", "null", "", None, '["x"]', "[[1],[2]]"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = df.select(element_rows("s").alias("n"), F.coalesce(F.size(parse_array("s", "id string")), F.lit(0)).alias("m")).collect()
+    assert [r.n for r in got] == [max(r.m, 0) for r in got]
