@@ -7,6 +7,8 @@ personal data, packing.  All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +40,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    single = named.withColumn("__row", F.row_number().over(first)).where("__row = 1").select(*docs.columns)
+    row = f"row_{uuid.uuid4().hex}"  # no column of the input has this name
+    single = named.withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).select(*docs.columns)
     return single.unionByName(docs.where("doc_id is null"))
 
 

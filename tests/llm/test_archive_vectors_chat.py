@@ -130,7 +130,9 @@ def test_pipeline_stages(spark):
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = spark.createDataFrame([(10**9, "12 34", "en", "x", 5), (10**9 + 1, None, None, None, None)], docs.schema)
-    docs = docs.unionByName(extra).unionByName(docs.where("doc_id = 3")).cache()
+    docs = docs.unionByName(extra).unionByName(docs.where("doc_id = 3"))
+    # Further columns, named like outputs and working columns, must come through as they are.
+    docs = docs.withColumn("pii_spans", docs.doc_id).withColumn("kept", docs.source).withColumn("score", docs.n_chars).cache()
     rows = {r.doc_id: r for r in docs.collect()}
     at = {}
     frame = docs
@@ -140,6 +142,7 @@ def test_pipeline_stages(spark):
         if name != "packing":
             assert out.columns == docs.columns
             at[name] = (before, {r.doc_id: r for r in out.collect()}, out.count())
+            assert all((r.pii_spans, r.kept) == (rows[d].pii_spans, rows[d].kept) for d, r in at[name][1].items())
         frame_before, frame = frame, out
     before, after, _ = at["language_id"]
     parser = langid.CrossParser(langid.training_text(docs))
