@@ -24,7 +24,16 @@ from loanweave.session import build_session, scratch_path  # noqa: E402
 from loanweave.sources.snapshot import portfolio_snapshot  # noqa: E402
 
 
+def cpu_model() -> str:
+    try:
+        with open("/proc/cpuinfo") as f:
+            return next((x.split(":", 1)[1].strip() for x in f if x.startswith("model name")), "unknown")
+    except OSError:
+        return "unknown"
+
+
 def main() -> None:
+    load = round(os.getloadavg()[0], 2)
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
@@ -82,7 +91,7 @@ def main() -> None:
         "queries": {**times, **mart}, "queries_cold": cold,
         "cold_total": round(sum(cold.values()), 3), "snapshot_stage": round(stage, 3),
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "cpus": cpus,
-        "n_queries": len(times), "errors": errors}))
+        "n_queries": len(times), "errors": errors, "cpu_model": cpu_model(), "load_1m": load}))
     spark.stop()
 
 
