@@ -36,8 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.llm.common import drop_staged, stage
+from loanweave.llm.common import drop_staged, mix64, stage
 from loanweave.llm.langid import held_out
+from loanweave.llm.minhash import shingle_sets
 
 #: Labelled documents to learn from, at most (in expectation).
 MAX_LABELLED = 12_000
@@ -202,6 +203,21 @@ def _stems_of(text: str) -> tuple[Counter, int]:
     return Counter(w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n), len(words)
 
 
+def _single_copies(sample: DataFrame) -> DataFrame:
+    """Copies of a text count once, or its chance words would look like insults: of rows that
+    agree in a minimum of their hashed 4-word shingles one is kept, for two such minima in turn."""
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = shingle_sets(b.column(1), 4)
+            k1 = [int(s.min() >> np.uint64(1)) if len(s) else 0 for s in sets]
+            k2 = [int(mix64(s).min() >> np.uint64(1)) if len(s) else 0 for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())],
+                                             ["y", "text", "k1", "k2"])
+    keyed = sample.mapInArrow(keys, "y int, text string, k1 bigint, k2 bigint")
+    once = keyed.groupBy("k1").agg(F.min(F.struct("k2", "y", "text")).alias("x")).select("x.*")
+    return once.groupBy("k2").agg(F.min(F.struct("y", "text")).alias("x")).select("x.*")
+
+
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
     """The model from a sample of the labelled rows: those whose hashed doc_id falls under a
     threshold, so only that share of the documents' texts is shuffled, whatever the table's
@@ -214,8 +230,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         return Model({}, -math.inf, 0.0)
     share = min(1.0, max_labelled / n)
     drawn = (F.xxhash64(F.col("doc_id").cast("string"), F.lit("tox")) / 2.0**64 + 0.5) < share
-    sample = (docs.where(drawn & F.col("text").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
-              .join(known.where(drawn), "doc_id").select("y", "text"))
+    sample = _single_copies(docs.where(drawn & F.col("text").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
+                            .join(known.where(drawn), "doc_id").select("y", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = (Counter(), Counter())
