@@ -140,22 +140,23 @@ class CrossParser:
         size = np.minimum(self.lane, ends[doc] - start)
         out = np.zeros((len(self.langs), len(texts)), np.int64)
         order = np.argsort(-size, kind="stable")
-        for at in range(0, len(order), 8192):
-            o = order[at:at + 8192]
+        for at in range(0, len(order), 4096):  # bounds the symbol matrix of a step to 4 MB
+            o = order[at:at + 4096]
             out += self._walk(s, start[o], size[o], doc[o], len(texts))
         return out, sizes
 
     def _walk(self, s, start, size, doc, n_texts) -> np.ndarray:
         n, longest = len(size), int(size[0]) if len(size) else 0
         where = np.minimum(start[:, None] + np.arange(longest), len(s) - 1)
-        columns = np.ascontiguousarray(s[where].T).astype(np.int64)
+        columns = np.ascontiguousarray(s[where].T)
+        del where
         active = np.searchsorted(-size, -np.arange(longest), side="left")  # lanes longer than each step
         state = np.repeat(self.roots, n, axis=1)
         count = np.zeros((len(self.langs), n), np.int64)
         width, table, root_row = self.width, self.table, self.roots * self.width
         for t in range(longest):
             m = active[t]
-            c = columns[t, :m]
+            c = columns[t, :m].astype(np.int64)
             to = table[state[:, :m] * width + c]
             miss = to == 0
             again = table[root_row + c]
