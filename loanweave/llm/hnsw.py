@@ -240,20 +240,33 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _forest(pairs: list[tuple]) -> list[tuple]:
-    """Edges (node, smallest node) that join what ``pairs`` join."""
-    root: dict = {}
-
-    def find(x):
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-    for a, b in pairs:
-        a, b = find(a), find(b)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-    return [(x, find(x)) for x in list(root) if find(x) != x]
+def _join(parent: np.ndarray, nodes: np.ndarray) -> None:
+    """Join ``nodes`` in the union-find array ``parent``, whose roots are their trees' smallest nodes."""
+    roots = parent[nodes]
+    while (up := parent[roots]).tobytes() != roots.tobytes():
+        roots = up
+    parent[roots] = parent[nodes] = roots.min()
+
+
+def join_links(g: Graph, unit: np.ndarray, rep: np.ndarray, copies: np.ndarray, x: np.ndarray, own: np.ndarray, ef: int,
+               threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the queries ``x`` (ids ``own``) that have links: ids and numbers of links; and the forest of all
+    links, as nodes and the smallest node of each.  Links are joined as they are found, none is kept."""
+    names = np.unique(np.concatenate((rep, own)))
+    at, own_at = np.searchsorted(names, rep), np.searchsorted(names, own)
+    parent, others = np.arange(len(names)), np.zeros(len(own), np.int64)
+    for k, nodes in g.links(x.astype(np.float32), ef, threshold - SLACK):
+        nodes = nodes[rep[nodes] != own[k]]
+        # A few thousand vectors at a time are gathered in double precision.
+        near = [part[unit[part] @ x[k] >= threshold] for part in np.split(nodes, range(4096, len(nodes), 4096))]
+        nodes = np.concatenate(near)
+        if len(nodes):
+            others[k] = copies[nodes].sum()
+            _join(parent, np.append(at[nodes], own_at[k]))
+    while (up := parent[parent]).tobytes() != parent.tobytes():
+        parent = up
+    some, child = np.flatnonzero(others), np.flatnonzero(parent != np.arange(len(names)))
+    return own[some], others[some], names[child], names[parent[child]]
 
 
 def link_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS,
@@ -289,7 +302,8 @@ def link_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows
     spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(q: pa.Table, t: pa.Table) -> pa.Table:
-        counts, pairs = [], []
+        kind = q["rep"].type if q.num_rows else t["rep"].type
+        ids, others, child, root = [], [], [], []
         if q.num_rows and t.num_rows:
             d = q["dim"][0].as_py()
             t = t.sort_by("pos")
@@ -305,19 +319,11 @@ def link_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows
                 edges.append(adj)
             g = Graph(unit.astype(np.float32), level, edges)
             x, own = _matrix(q["v"], d), q["rep"].to_numpy()
-            q32 = x.astype(np.float32)
-            least = threshold - SLACK
-            ef = g.audited_beam(q32, rep.astype(np.int64), least)
-            for k, nodes in g.links(q32, ef, least):
-                nodes = nodes[(unit[nodes] @ x[k] >= threshold) & (rep[nodes] != own[k])]
-                if len(nodes):
-                    counts.append((own[k], int(copies[nodes].sum())))
-                    pairs += [(own[k], r) for r in rep[nodes]]
-        forest = _forest(pairs)
-        kind = q["rep"].type if q.num_rows else t["rep"].type
-        return pa.table({"a": pa.array([c[0] for c in counts] + [f[0] for f in forest], kind),
-                         "b": pa.array([None] * len(counts) + [f[1] for f in forest], kind),
-                         "n": pa.array([c[1] for c in counts] + [None] * len(forest), pa.int64())})
+            ef = g.audited_beam(x.astype(np.float32), rep.astype(np.int64), threshold - SLACK)
+            ids, others, child, root = join_links(g, unit, rep, copies, x, own, ef, threshold)
+        return pa.table({"a": pa.concat_arrays([pa.array(ids, kind), pa.array(child, kind)]),
+                         "b": pa.concat_arrays([pa.nulls(len(ids), kind), pa.array(root, kind)]),
+                         "n": pa.concat_arrays([pa.array(others, pa.int64()), pa.nulls(len(child), pa.int64())])})
 
     found = stage(queries.groupBy("dim", "shard", "block").cogroup(spread.groupBy("dim", "shard", "block")).applyInArrow(
         search, f"a {id_type}, b {id_type}, n bigint"), "hnsw_found")

@@ -6,6 +6,7 @@ import math
 import os
 import random
 import sys
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -103,6 +104,26 @@ def test_embedding_edges(spark):
     assert hnsw.link_embeddings(df.where("false")).count() == 0
 
 
+def test_embedding_group_of_near_copies_is_joined_without_its_pairs():
+    n = 3000
+    rnd = np.random.default_rng(6)
+    unit = hnsw._unit(np.concatenate([rnd.normal(size=16) + rnd.normal(size=(n, 16)) * 0.01, rnd.normal(size=(50, 16))]))
+    ids = rnd.permutation(len(unit)) + 7
+    copies = np.where(np.arange(len(unit)) == 5, 3, 1)
+    g = hnsw.Graph.build(unit.astype(np.float32), ids)
+    ef = g.audited_beam(unit.astype(np.float32), ids, 0.9)
+    tracemalloc.start()
+    own, others, child, root = hnsw.join_links(g, unit, ids, copies, unit, ids, ef, 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    group = dict(zip(ids[:n].tolist(), (n + 2 - copies[:n]).tolist()))
+    got = dict(zip(own.tolist(), others.tolist()))
+    assert {i: got[i] for i in group} == group
+    first = min(group)
+    assert {c: r for c, r in zip(child.tolist(), root.tolist()) if c in group} == {i: first for i in group if i != first}
+    assert len(child) <= len(unit) and peak < 16 * n * n  # a tuple a directed link takes 72 bytes and more
+
+
 def test_preferences(spark):
     c = [(1, 0, "system", "s"), (1, 1, "user", "hi"), (1, 2, "assistant", "good"), (2, 0, "user", "a"), (3, 0, None, None), (4, 0, "user", "only"),
          (None, 0, "user", "x"), (5, 1, "user", "same"), (5, 1, "user", "same")]
