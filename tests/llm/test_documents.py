@@ -178,6 +178,28 @@ def test_pii_redaction_and_added_spans(spark):
     assert pii.fit(df.where("false")).trees == []
 
 
+def test_fitted_model_adds_planted_loose_spans(spark):
+    rnd = random.Random(8)
+
+    def number(n):
+        return "".join(rnd.choice("123456789") for _ in range(n))
+    rows = []
+    for i in range(900):
+        said = rnd.choice([f"write to u{i}.x@mail{i % 9}.example.com today", f"call +1 ({number(3)}) {number(3)}-{number(4)} today",
+                           "from {}.{}.{}.{} today".format(*(rnd.randrange(1, 256) for _ in range(4)))])
+        rows.append((i, f"{said} about order {number(8)} and item {number(18)}x, version 4.{i}.0"))
+    planted = [("ask joe (at) host.org about it", "joe (at) host.org", 0), ("ask ann[at]mail.example.com. Then go", "ann[at]mail.example.com", 0),
+               ("call 1 (555) 010-2030 today", "1 (555) 010-2030", 3), ("from 10 . 20 . 30 . 40 today", "10 . 20 . 30 . 40", 1),
+               ("from 10,20,30,40 today", "10,20,30,40", 1)]
+    rows += [(1000 + i, t) for i, (t, _, _) in enumerate(planted)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find(df, pii.fit(df.where("doc_id < 1000"))).collect()}
+    for i, (t, m, k) in enumerate(planted):
+        at = t.index(m)
+        assert (at, k, at + len(m)) in [tuple(x) for x in got[1000 + i].pii_spans] and not got[1000 + i].pii_base, t
+    assert sum(len(got[i].pii_spans) > len(got[i].pii_base) for i in range(900)) <= 9
+
+
 # ---- language --------------------------------------------------------------------
 
 def phrases_by_hand(text, train):
