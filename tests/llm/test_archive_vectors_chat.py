@@ -144,6 +144,19 @@ def test_preferences(spark):
     assert chat.format_preferences(empty, empty).count() == 0
 
 
+def test_language_stage_keeps_short_and_tied_texts(spark):
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    import corpus_pipeline
+    from loanweave.llm import langid
+
+    text_of = {"en": "this is a cat and an animal", "fr": "ceci est un chat de la maison, il a un animal"}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate([*text_of.items()] * 8)]
+    rows += [(100, "A.", "en"), (101, "animal", "fr"), (102, "this is ceci est", "en"), (103, "12 34", "en"), (104, None, "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert 0.0 in langid.CrossParser(langid.training_text(df)).predict(["A.", "animal"])[1]
+    assert {r.doc_id for r in corpus_pipeline.identify_language(spark, df, SF).collect()} == {r[0] for r in rows} - {103, 104}
+
+
 def test_pipeline_stages(spark):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
     import corpus_pipeline
