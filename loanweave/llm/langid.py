@@ -5,7 +5,9 @@ A document is parsed against every automaton: the longest match from where the
 last phrase ended is the next phrase.  Text of the same language falls into
 few, long phrases; the language with the fewest phrases per symbol wins.
 
-The automata are dense transition tables, and a task walks all documents of a
+The automata are transition tables, dense for the commonest letters and sorted
+arrays of edges for all others, so every letter of the excerpts counts, however
+many there are.  A task walks all documents of a
 batch through all languages at once, one symbol of every lane per step.  Long
 texts are cut into lanes of ``LANE`` symbols (a phrase ends where a lane ends),
 so a very long text costs no more than as many short ones.  Nothing is
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 SAMPLE_DOCS = 48
 SAMPLE_CHARS = 1000
 LANE = 1024
-MAX_LETTERS = 120  # letters with transitions; rarer ones count as unknown
+DENSE_LETTERS = 120  # letters with a column in the dense table; transitions of the rarer ones are sorted edges
 
 OTHER = 1  # symbol of a letter that no language has; 0 is a gap between words
 
@@ -57,8 +59,9 @@ def training_text(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars:
     return {k: " ".join(v) for k, v in sorted(out.items())}
 
 
-def _suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions [state, symbol]; state 1 is the root, 0 stands for none."""
+def _suffix_automaton(symbols: list[int], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions [state, symbol] of symbols under ``width`` and rows (state, symbol, next state)
+    of the others; state 1 is the root, 0 stands for none."""
     nexts: list[dict] = [{}, {}]
     link, length = [0, 0], [0, 0]
     last = 1
@@ -88,10 +91,14 @@ def _suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                 link[q] = link[cur] = clone
         last = cur
     table = np.zeros((len(nexts), width), np.int32)
+    rare = []
     for s, row in enumerate(nexts):
         for c, t in row.items():
-            table[s, c] = t
-    return table
+            if c < width:
+                table[s, c] = t
+            else:
+                rare.append((s, c, t))
+    return table, np.array(rare, np.int64).reshape(-1, 3)
 
 
 class CrossParser:
@@ -101,22 +108,29 @@ class CrossParser:
         self.langs = sorted(text_of)
         self.lane = lane
         letters = Counter(c for t in text_of.values() for c in t.lower() if c.isalpha() and len(c) == 1)
-        known = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:MAX_LETTERS]]
-        self.symbol = np.array([chr(i).isalpha() for i in range(0x110000)], np.uint8)  # OTHER for letters
+        known = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))]
+        self.n_symbols = len(known) + 2
+        self.symbol = np.array([chr(i).isalpha() for i in range(0x110000)], np.min_scalar_type(self.n_symbols))  # OTHER for letters
         for k, c in enumerate(known):
             for form in {c, c.upper()}:
                 if len(form) == 1:
                     self.symbol[ord(form)] = k + 2
-        self.width = len(known) + 2
+        self.width = min(len(known), DENSE_LETTERS) + 2
         tables, roots, base = [np.zeros((1, self.width), np.int32)], [], 1
+        edges = []
         for lang in self.langs:
             s, _ = self._symbols([text_of[lang]])
-            t = _suffix_automaton(s.tolist(), self.width)
+            t, rare = _suffix_automaton(s.tolist(), self.width)
             t[:, OTHER] = 0
             tables.append(np.where(t[1:] > 0, t[1:] + (base - 1), 0).astype(np.int32))
             roots.append(base)
+            edges.append(rare + np.array([base - 1, 0, base - 1]))
             base += len(t) - 1
         self.table = np.concatenate(tables).ravel()
+        rare = np.concatenate([np.empty((0, 3), np.int64), *edges])
+        keys = rare[:, 0] * self.n_symbols + rare[:, 1]
+        order = np.argsort(keys)
+        self.rare_keys, self.rare_next = keys[order], rare[order, 2]
         self.roots = np.array(roots, np.int64)[:, None]
 
     def _symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,11 +154,18 @@ class CrossParser:
         size = np.minimum(self.lane, ends[doc] - start)
         out = np.zeros((len(self.langs), len(texts)), np.int64)
         order = np.argsort(-size, kind="stable")
-        for at in range(0, len(order), 4096):  # bounds the symbol matrix of a step to 4 MB
-            o = order[at:at + 4096]
+        step = 4096 // self.symbol.itemsize  # bounds the symbol matrix of a step to 4 MB
+        for at in range(0, len(order), step):
+            o = order[at:at + step]
             out += self._walk(s, start[o], size[o], doc[o], len(texts))
         return out, sizes
 
+    def _rare(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Next states (0 for none) by symbols beyond the dense table."""
+        key = state * self.n_symbols + c
+        at = np.minimum(np.searchsorted(self.rare_keys, key), len(self.rare_keys) - 1)
+        return np.where(self.rare_keys[at] == key, self.rare_next[at], 0)
+
     def _walk(self, s, start, size, doc, n_texts) -> np.ndarray:
         n, longest = len(size), int(size[0]) if len(size) else 0
         where = np.minimum(start[:, None] + np.arange(longest), len(s) - 1)
@@ -157,9 +178,14 @@ class CrossParser:
         for t in range(longest):
             m = active[t]
             c = columns[t, :m].astype(np.int64)
-            to = table[state[:, :m] * width + c]
+            rare = np.flatnonzero(c >= width) if len(self.rare_keys) else ()
+            dense = np.where(c < width, c, OTHER) if len(rare) else c
+            to = table[state[:, :m] * width + dense]
+            again = table[root_row + dense]
+            if len(rare):
+                to[:, rare] = self._rare(state[:, rare], c[rare])
+                again[:, rare] = self._rare(self.roots, c[rare])
             miss = to == 0
-            again = table[root_row + c]
             strange = again == 0  # a symbol the language lacks is a phrase of its own
             count[:, :m] += miss & (state[:, :m] != self.roots)
             count[:, :m] += miss & strange

@@ -224,6 +224,20 @@ def test_cross_parsing_counts_longest_matches():
             assert int(counts[k, 0]) == phrases_by_hand(text + " ", train[lang] + " ")
 
 
+def test_cross_parsing_knows_every_letter_of_large_alphabets(spark):
+    rnd = random.Random(3)
+    signs = [chr(0x4E00 + i) for i in range(500)]
+    words = {lang: ["".join(rnd.choices(signs, k=3)) for _ in range(250)] for lang in ("ja", "zh")}
+    train = {lang: " ".join(w) for lang, w in words.items()} | {"en": "the cat and the dog sat " * 40}
+    p = langid.CrossParser(train)
+    texts = [" ".join(rnd.choices(words[lang], k=4)) for lang in ("ja", "zh") * 20] + ["the dog sat", "the " + signs[7]]
+    counts, _ = p.phrases([t + " " for t in texts])
+    for k, lang in enumerate(p.langs):
+        assert counts[k].tolist() == [phrases_by_hand(t + " ", train[lang] + " ") for t in texts]
+    got = {r.doc_id: r for r in langid.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), train).collect()}
+    assert [got[i].lang_pred for i in range(41)] == ["ja", "zh"] * 20 + ["en"] and all(got[i].score > 0.1 for i in range(41))
+
+
 def test_op3_held_out_accuracy(spark, docs):
     rows = queries.op3_language_id(spark, SF).collect()
     assert len(rows) == len(docs) and all(0 <= r.score <= 1 for r in rows)
