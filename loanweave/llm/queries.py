@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.llm import bpe, chat, hnsw, langid, minhash, packing, pii, quality, toxicity, warc
+from loanweave.llm import bpe, chat, hnsw, langid, minhash, packing, pii, quality, toxicity, warc, whitening
 from loanweave.llm.common import ship_package, table
 from loanweave.session import prepare_session
 
@@ -108,6 +108,22 @@ def op10_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leading whitened coordinates of every vector, from the bit-sliced scatter of all."""
+    vectors = _prepared(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors.select("embedding"))
+    id_type = vectors.schema["vec_id"].dataType.simpleString()
+    if model is None:
+        return spark.createDataFrame([], f"vec_id {id_type}, component int, n long, deviation long, whitened double, "
+                                         "explained double, identity_error double")
+    share = F.array(*[F.lit(float(e / model.trace) if model.trace else 0.0) for e in model.eigenvalues])
+    return (whitening.whiten(vectors, model)
+            .select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+            .select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"),
+                    F.col("deviation").try_cast("long").alias("deviation"), "whitened", F.get(share, F.col("at")).alias("explained"),
+                    F.lit(whitening.identity_error(vectors.select("embedding"), model)).alias("identity_error")))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_pii_boosting": op2_pii_boosting,
@@ -119,6 +135,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_outliers": op10_quality_outliers,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
