@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,17 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def byte_slices(batch: pa.RecordBatch, column: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of a batch whose texts hold at most ``most`` bytes together (a longer text alone)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        used = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, used + most, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 # ---- byte-level words and fingerprints -------------------------------------
 # Words are runs of bytes other than space and \t \n \v \f \r.  Their 64-bit
 # fingerprints come from prefix sums of table[byte] * BASE**i (mod 2**64), so

@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.llm import bpe, chat, hnsw, langid, minhash, packing, pii, quality, toxicity, warc, whitening
-from loanweave.llm.common import ship_package, table
+from loanweave.llm import bpe, chat, discriminant, hnsw, langid, lexical, minhash, packing, pii, quality, toxicity, warc, whitening
+from loanweave.llm.common import ship_package, stage, table
 from loanweave.session import prepare_session
 
 
@@ -124,6 +124,19 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(whitening.identity_error(vectors.select("embedding"), model)).alias("identity_error")))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring documents of all for every benchmark item."""
+    return lexical.search(_prepared(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op13_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text scored for quality by the shrunken class densities of its statistics."""
+    stats = stage(discriminant.text_statistics(_docs(spark, sf_dir)), "discriminant_stats")
+    found = discriminant.score(stats, discriminant.learn(stats, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", discriminant.held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= discriminant.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_pii_boosting": op2_pii_boosting,
@@ -136,6 +149,8 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_outliers": op10_quality_outliers,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_quality_discriminant": op13_quality_discriminant,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -208,4 +223,21 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id <> top THEN top END AS refers_to, true AS verified
         FROM d
     """,
+    "op12_lexical_search": r"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS x FROM documents),
+             c AS (SELECT count(*) AS nd, sum(len(x))::BIGINT AS nt FROM d WHERE len(x) > 0),
+             i AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+             q AS (SELECT item_id, t, count(*) AS q FROM i GROUP BY ALL),
+             p AS (SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(x) AS n, unnest(x) AS t FROM d)
+                   SEMI JOIN q USING (t) GROUP BY ALL),
+             f AS (SELECT t, floor(1000 * ln((2 * max(nd) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, c GROUP BY t),
+             s AS (SELECT item_id, r, doc_id,
+                          sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // nt))))::BIGINT AS score
+                   FROM q JOIN p USING (t) JOIN f USING (t), c GROUP BY ALL HAVING score > 0),
+             k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s)
+        SELECT item_id, rank::INT AS rank, doc_id, score FROM k WHERE rank <= 10
+    """,
 }
