@@ -15,15 +15,28 @@ def parse_object(c: Column | str, ddl: str) -> Column:
     return F.from_json(_c(c), ddl)
 
 
+def whole_array(c: Column | str, element_ddl: str) -> Column:
+    """JSON array text -> array<struct> in one parse; a lone object becomes a
+    1-element array, an array with an element that is no object gives NULL."""
+    return F.from_json(_c(c), f"array<struct<{element_ddl}>>")
+
+
+def repaired_array(whole: Column, c: Column | str, element_ddl: str) -> Column:
+    """``whole`` (of :func:`whole_array`) or, evaluated only in rows where that is
+    NULL for an array text, the elements parsed one by one: an element that is no
+    object becomes an all-NULL struct and leaves its siblings alone."""
+    one_by_one = F.transform(F.from_json(_c(c), "array<string>"), lambda e: F.from_json(e, f"struct<{element_ddl}>"))
+    return F.coalesce(whole, F.when(F.json_array_length(_c(c)).isNotNull(), one_by_one))
+
+
 def parse_array(c: Column | str, element_ddl: str) -> Column:
-    """JSON array text -> array<struct>; a lone object becomes a 1-element array.
-
-    An element that is no object becomes an all-NULL struct and leaves its
-    siblings alone: the whole-array parse gives NULL for such an array, which
-    is then parsed element by element."""
-    element = f"struct<{element_ddl}>"
-    return F.coalesce(F.from_json(_c(c), f"array<{element}>"),
-                      F.transform(F.from_json(_c(c), "array<string>"), lambda e: F.from_json(e, element)))
+    """JSON array text -> array<struct>, as one expression.
+
+    ``element_ddl`` names the fields that are read and no others
+    (:func:`loanweave.sources.contract.pick`): the optimizer cannot prune
+    fields through the repair of mixed arrays.  Where the array is used more
+    than once, bind it with :func:`loanweave.operators.payload.bind_array`."""
+    return repaired_array(whole_array(c, element_ddl), c, element_ddl)
 
 
 def array_elements(c: Column | str) -> Column:

@@ -119,7 +119,8 @@ def json_array_elements(spark, sf_dir):
 
 def json_array_rows(spark, sf_dir):
     rows = visible(_snap(spark, sf_dir)).select(
-        "id", F.explode(parse_array("installments", C.INSTALLMENTS)).alias("e"))
+        "id", F.explode(parse_array("installments", C.pick(
+            C.INSTALLMENTS, "id", "principal_amount", "adjusted_effective_date"))).alias("e"))
     return TB._ntz(rows.select(
         "id", F.col("e")["id"].alias("installment_id"),
         F.col("e")["principal_amount"].alias("principal_amount"),
@@ -127,7 +128,7 @@ def json_array_rows(spark, sf_dir):
 
 
 def array_nth(spark, sf_dir):
-    arr = parse_array("installments", C.INSTALLMENTS)
+    arr = parse_array("installments", C.pick(C.INSTALLMENTS, "id"))
     return _snap(spark, sf_dir).select("id", F.get(arr, 1)["id"].alias("second_id"))
 
 
@@ -163,7 +164,7 @@ def hash_concat_q(spark, sf_dir):
 def child_ordinal(spark, sf_dir):
     rows = TB.latest(_snap(spark, sf_dir)).select(
         "loan_id", "id",
-        F.posexplode(parse_array("installments", C.INSTALLMENTS)).alias("ordinal", "e"))
+        F.posexplode(parse_array("installments", C.pick(C.INSTALLMENTS, "id", "adjusted_effective_date"))).alias("ordinal", "e"))
     # ``id`` is unique within a loan: partitioning by (loan_id, id) is the same
     # grouping and reuses the latest frame's partitioning (no second shuffle).
     w = Window.partitionBy("loan_id", "id").orderBy(F.col("e")["adjusted_effective_date"],
@@ -206,11 +207,11 @@ def left_join_children(spark, sf_dir):
 
 def first_event_dates(spark, sf_dir):
     lat = non_empty(TB.latest(_snap(spark, sf_dir)), "bankruptcy_timeline")
-    events = F.flatten(F.transform(TB.timeline_entries(F.col("bankruptcy_timeline")),
-                                   lambda e: e["event_history"]))
-    return lat.select("loan_id",
-                      first_event_date(events, "petitioned").alias("first_petitioned"),
-                      first_event_date(events, "discharged").alias("first_discharged"))
+    bound = TB.bind_timeline(lat, "_timeline", "bankruptcy_timeline", C.pick(C.BANKRUPTCY_EVENT, "date", "status"))
+    events = bound.withColumn("_events", F.flatten(F.transform("_timeline", lambda e: e["event_history"])))
+    return events.select("loan_id",
+                         first_event_date(F.col("_events"), "petitioned").alias("first_petitioned"),
+                         first_event_date(F.col("_events"), "discharged").alias("first_discharged"))
 
 
 def table_row_counts(spark, sf_dir):

@@ -20,10 +20,10 @@ from pyspark.sql import types as T
 
 from loanweave.functions import casts
 from loanweave.functions.json import (
-    element_count, element_rows, first_event_date, parse_array, parse_object,
+    element_count, element_rows, first_event_date, parse_object,
 )
 from loanweave.functions.keys import surrogate_key
-from loanweave.operators.payload import explode_elements, fan_out, values_at
+from loanweave.operators.payload import bind_array, explode_elements, fan_out, values_at
 from loanweave.operators.snapshot import latest_per_key, non_empty, visible
 from loanweave.session import stage
 from loanweave.sources import contract as C
@@ -241,7 +241,8 @@ def payload_table_observed(visible_frame: DataFrame, latest_frame: DataFrame,
         base = non_empty(base, spec.payload)
     ids = parse_object("loan_data", _LOAN_IDS)
     loan_id = F.col("loan_id") if o.loan_id_from == "snapshot" else ids["loan_id"]
-    parsed = parse_array(spec.payload, spec.element_ddl(OBSERVED_MONEY))
+    base = bind_array(base, "_elements", spec.payload, spec.element_ddl(OBSERVED_MONEY))
+    parsed = F.col("_elements")
     fan_col = {"owners": "financial_owners", "payload": spec.payload, "none": None}[o.fan_out]
     # Values are taken once per snapshot row, then the row is repeated.
     df = base.select(loan_id.alias("loan_id"), ids["loan_uuid"].alias("loan_uuid"),
@@ -264,18 +265,25 @@ BANKRUPTCY_OUTPUT = ("loan_id", "loan_uuid", "claimed_date", "petitioned_date",
                      "discharged_date", "bankruptcy_uuid", "chapter", "status")
 
 
-def timeline_entries(text: Column) -> Column:
-    """Timeline entries, each ``struct<event_history: array<event>>``.
+# Fields of an event that the tables read.
+_EVENT = C.pick(C.BANKRUPTCY_EVENT, "date", "status", "chapter")
+
+
+def bind_timeline(df: DataFrame, name: str, text: str, event_ddl: str = _EVENT) -> DataFrame:
+    """``df`` with column ``name``: timeline entries, each ``struct<event_history: array<event>>``.
 
     Accepts an array of entries, one entry object, or an array of bare events
     (if no element carries ``event_history`` the whole array is one entry).
+    One parse reads both shapes: its element has the entry's field and the event's.
     """
-    entries = parse_array(text, C.BANKRUPTCY_TIMELINE_ENTRY)
-    bare = parse_array(text, C.BANKRUPTCY_EVENT)
-    as_one = F.array(F.struct(bare.alias("event_history")))
-    return (F.when(F.exists(entries, lambda e: e["event_history"].isNotNull()), entries)
-             .when(F.size(bare) > 0, as_one)
-             .otherwise(entries))
+    fields = [f.split(None, 1)[0] for f in event_ddl.split(", ")]
+    both = bind_array(df, name, text, f"event_history array<struct<{event_ddl}>>, {event_ddl}")
+    elements = F.col(name)
+    entries = F.transform(elements, lambda e: F.struct(e["event_history"].alias("event_history")))
+    bare = F.transform(elements, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
+    return both.withColumn(name, F.when(F.exists(elements, lambda e: e["event_history"].isNotNull()), entries)
+                           .when(F.size(elements) > 0, F.array(F.struct(bare.alias("event_history"))))
+                           .otherwise(entries))
 
 
 def bankruptcy(frame: DataFrame) -> DataFrame:
@@ -285,7 +293,9 @@ def bankruptcy(frame: DataFrame) -> DataFrame:
     frame is read once (no union of two scans).
     """
     base = frame.filter((F.col("bankruptcy_timeline") != "[]") | (F.col("bankruptcy_claims") != "[]"))
-    ids = parse_object("loan_data", _LOAN_IDS)
+    base = bind_array(bind_timeline(base, "_timeline", "bankruptcy_timeline"), "_claims", "bankruptcy_claims", C.BANKRUPTCY_CLAIMS)
+    base = base.withColumn("_ids", parse_object("loan_data", _LOAN_IDS))
+    ids = F.col("_ids")
     loan_id = ids["loan_id"]
     null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("date")
 
@@ -308,10 +318,8 @@ def bankruptcy(frame: DataFrame) -> DataFrame:
             c["chapter"].alias("chapter"), c["status"].alias("status"))
 
     rows = F.concat(
-        F.coalesce(F.transform(timeline_entries(F.col("bankruptcy_timeline")), entry_row),
-                   F.array()),
-        F.coalesce(F.transform(parse_array("bankruptcy_claims", C.BANKRUPTCY_CLAIMS), claim_row),
-                   F.array()))
+        F.coalesce(F.transform("_timeline", entry_row), F.array()),
+        F.coalesce(F.transform("_claims", claim_row), F.array()))
     return (base.select(loan_id.alias("loan_id"), ids["loan_uuid"].alias("loan_uuid"),
                         F.inline(rows))
                 .select(*BANKRUPTCY_OUTPUT))
@@ -323,8 +331,9 @@ def bankruptcy_observed(frame: DataFrame) -> DataFrame:
     hashes a partition-dependent generated id; only the reproducible half
     ``h2 = sha2(loan_id ‖ all claimed dates)`` is published, as ``claims_hash``."""
     base = frame.filter((F.col("bankruptcy_timeline") != "[]") & (F.col("bankruptcy_claims") != "[]"))
+    base = bind_array(base, "_claims", "bankruptcy_claims", C.BANKRUPTCY_CLAIMS)
     ids = parse_object("loan_data", _LOAN_IDS)
-    claims = parse_array("bankruptcy_claims", C.BANKRUPTCY_CLAIMS)
+    claims = F.col("_claims")
     first = F.get(claims, 0)
     df = base.select(
         ids["loan_id"].alias("loan_id"), ids["loan_uuid"].alias("loan_uuid"),
@@ -487,8 +496,8 @@ def payment_plan(snapshot: DataFrame) -> DataFrame:
             .withColumn("json_loan_id", F.col("ld")["loan_id"]))
     top = latest_per_key(base, "json_loan_id", ("portfolios_created_at", "id"))
     plan_ddl = ", ".join(f"{f} string" for f in C.PAYMENT_PLAN_FIELDS)
-    rows = top.select("ld", "customer_id_text", "etl_ingestion_time", "source_file_creation_time",
-                      F.explode(parse_array("payment_plans", plan_ddl)).alias("p"))
+    rows = explode_elements(top, "payment_plans", plan_ddl,
+                            ["ld", "customer_id_text", "etl_ingestion_time", "source_file_creation_time"]).withColumnRenamed("e", "p")
 
     t = lambda f: F.col("p")[f]  # noqa: E731  (original text of a plan field)
     plan_type, status = t("plan_type"), t("status")
@@ -566,13 +575,11 @@ def generated_row_counts(snapshot: DataFrame) -> DataFrame:
         if not spec.distinct:
             sums[name] = element_rows(spec.payload)
     has_payload = (F.col("bankruptcy_timeline") != "[]") | (F.col("bankruptcy_claims") != "[]")
-    sums["bankruptcy"] = F.when(
-        has_payload,
-        _size0(timeline_entries(F.col("bankruptcy_timeline")))
-        + element_rows("bankruptcy_claims")).otherwise(0)
-    schedule = parse_object("loan_data", C.LOAN_DATA)["interest_rate_schedule"]
-    sums["interest_rate"] = F.greatest(_size0(schedule), F.lit(1))
-    sizes = visible(snapshot).select("loan_id", "published_at", "id",
+    sums["bankruptcy"] = F.when(has_payload, _size0(F.col("_timeline")) + element_rows("bankruptcy_claims")).otherwise(0)
+    sums["interest_rate"] = F.greatest(_size0(F.col("_schedule")), F.lit(1))
+    bound = bind_timeline(visible(snapshot), "_timeline", "bankruptcy_timeline", C.pick(C.BANKRUPTCY_EVENT, "status")).withColumn(
+        "_schedule", parse_object("loan_data", C.pick(C.LOAN_DATA, "interest_rate_schedule"))["interest_rate_schedule"])
+    sizes = bound.select("loan_id", "published_at", "id",
                                      *[e.alias(n) for n, e in sums.items()])
     one = latest_per_key(sizes).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n)
                                       for n in sums])

@@ -144,3 +144,16 @@ PAYMENT_PLAN_FIELDS = [
     "payment_dates", "rule_version", "freezes_lateness", "lateness_reset_date",
     "updated_at",
 ]
+
+
+def pick(ddl: str, *names: str) -> str:
+    """The named top-level fields of a payload schema, so that only they are parsed."""
+    fields, depth, at = [], 0, 0
+    for i, ch in enumerate(ddl):
+        depth += (ch in "<(") - (ch in ">)")
+        if ch == "," and depth == 0:
+            fields.append(ddl[at:i].strip())
+            at = i + 1
+    fields.append(ddl[at:].strip())
+    by_name = {f.split(None, 1)[0]: f for f in fields}
+    return ", ".join(by_name[n] for n in names)

@@ -58,3 +58,33 @@ def test_scans_read_few_columns(plans):
     # the snapshot has 24 columns; table queries read ids + loan_data + one payload
     for name in ("loan_debt_sale", "active_installment", "treasury_charge_off_observed"):
         assert all(w <= 8 for t, _, w in plans[name]["scans"] if t.startswith("portfolio_"))
+
+
+# Whole-payload parses (from_json to an array of structs at the top of a text) per query.
+WHOLE_PARSES = {"first_event_dates": 1, "bankruptcy": 2, "bankruptcy_observed": 1, "loan_debt_sale": 1,
+                "loan_debt_sale_observed": 1, "json_array_rows": 1, "child_ordinal": 1, "active_installment": 1,
+                "loan_financial_owner_observed": 1, "payment_plan": 1}
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(WHOLE_PARSES))
+def test_each_payload_text_is_parsed_once(spark, name):
+    """One top-level parse per payload column; the repair of mixed arrays is a
+    branch that only rows without a whole parse reach."""
+    plan = _optimized(QUERIES[name](spark, SF_SMALL))
+    assert plan.count("from_json(ArrayType(StructType(") == WHOLE_PARSES[name]
+    assert plan.count("from_json(ArrayType(StringType") == WHOLE_PARSES[name]
+
+
+def test_parsed_structs_hold_only_the_fields_that_are_read(spark):
+    rows = _optimized(QUERIES["json_array_rows"](spark, SF_SMALL))
+    assert "StructField(principal_amount" in rows
+    for unread in ("interest_amount", "late_fees_amount", "original_effective_date"):
+        assert f"StructField({unread}" not in rows
+    events = _optimized(QUERIES["first_event_dates"](spark, SF_SMALL))
+    assert "StructField(date" in events and "StructField(chapter" not in events and "attorney" not in events
+    counts = _optimized(QUERIES["table_row_counts"](spark, SF_SMALL))
+    assert counts.count("StructField(event_history") == 2  # the parse and its repair
