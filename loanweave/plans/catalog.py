@@ -238,18 +238,25 @@ def payload_key_drift(spark, sf_dir):
                                    portfolio_snapshot(spark, sf_dir, "after"), DRIFT_PAYLOADS)
 
 
+def payload_path_drift(spark, sf_dir):
+    """Occurrences of every nested path of every payload column in the two halves."""
+    return drift.payload_path_drift(portfolio_snapshot(spark, sf_dir, "before"),
+                                    portfolio_snapshot(spark, sf_dir, "after"), DRIFT_PAYLOADS)
+
+
 def payload_schema(spark, sf_dir):
+    """Schema of every payload column as rows (payload, path, type, nullable, n)."""
     return drift.payload_schema(_snap(spark, sf_dir), DRIFT_PAYLOADS)
 
 
 def schema_drift(spark, sf_dir):
-    """Outer columns and payload schemas of the two halves side by side."""
+    """Outer columns and payload paths of the two halves side by side."""
     return drift.schema_drift(spark, portfolio_footer(spark, sf_dir, "before"),
                               portfolio_footer(spark, sf_dir, "drifted"), DRIFT_PAYLOADS)
 
 
 def outer_schema_drift(spark, sf_dir):
-    """Outer columns of the two halves, each read from its own file footer."""
+    """Outer columns of the two halves, each under its own file footer, with the values they hold."""
     return drift.outer_schema_drift(spark, portfolio_footer(spark, sf_dir, "before"),
                                     portfolio_footer(spark, sf_dir, "drifted"))
 
@@ -311,6 +318,7 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "first_event_dates": first_event_dates,
     "table_row_counts": table_row_counts,
     "payload_key_drift": payload_key_drift,
+    "payload_path_drift": payload_path_drift,
     "payload_schema": payload_schema,
     "schema_drift": schema_drift,
     "outer_schema_drift": outer_schema_drift,

@@ -53,7 +53,7 @@ def run_daily(spark: SparkSession, drop_root: str, out_root: str, day: dt.date,
     ``drift`` is ``"same"``, ``"changed"`` or, without yesterday's file,
     ``"not_checked"``.  Only footers are compared before that decision; the
     outer comparison is written as table ``schema_drift``, and with
-    ``payload_drift`` the payload schemas, which scan both snapshots, join it.
+    ``payload_drift`` its counts and the payload paths, which scan both snapshots, join it.
     ``rename``: old and new column names (see ``rename_by_mapping``), applied
     to today's file before the contract check.
     """
@@ -70,9 +70,10 @@ def run_daily(spark: SparkSession, drop_root: str, out_root: str, day: dt.date,
     if snapshot_ready(spark, yesterday):
         previous = spark.read.parquet(yesterday)
         result["drift"] = "same" if previous.schema == footer.schema else "changed"
-        report = drift.outer_schema_drift(spark, previous, footer)
         if payload_drift:
-            report = report.unionByName(drift.payload_schema_drift(previous, footer, contract.PAYLOAD_COLUMNS))
+            report = drift.schema_drift(spark, previous, footer, contract.PAYLOAD_COLUMNS)
+        else:
+            report = drift.outer_schema_drift(spark, previous, footer, counted=False)
         stop = stop_on_drift and result["drift"] == "changed"
         result["schema_drift"] = sink.write_table(report, out_root, "schema_drift", day, as_of)
         if stop:

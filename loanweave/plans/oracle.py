@@ -8,6 +8,8 @@ parse + explode + dedup + key logic is checked by a separate path.
 
 from __future__ import annotations
 
+from loanweave.plans.oracle_paths import outer_columns_sql, path_drift_sql, schema_drift_sql, schema_sql
+
 # --------------------------------------------------------------------------- shared CTEs
 
 _BASE = """
@@ -604,26 +606,28 @@ def _key_drift_sql() -> str:
 OPERATORS["payload_key_drift"] = _key_drift_sql()
 
 # Outer columns of the two drift halves, as (name, type before,
-# type after, status); a column after the removed one moves by one place.
+# type after, status, source column that may be NULL); a column after the
+# removed one moves by one place.
 _OUTER = [
-    ("loan_id", "string", "string", "same"), ("id", "string", "string", "same"), ("dark", "boolean", "boolean", "same"),
-    ("published_at", "timestamp_ntz", "timestamp_ntz", "same"),
-    ("portfolios_created_at", "timestamp_ntz", "timestamp_ntz", "same"),
-    ("accounts_created_at", "timestamp_ntz", "timestamp_ntz", "same"),
-    ("accounts_updated_at", "timestamp_ntz", "timestamp_ntz", "same"),
-    ("accounts_build_end_time", "timestamp_ntz", None, "removed"),
-    ("servicing_account_id", "string", "string", "position_changed"),
-    ("etl_ingestion_time", "timestamp_ntz", "date", "type_changed"),
-    ("source_file_creation_time", "timestamp_ntz", "timestamp_ntz", "position_changed"),
-    *[(c, "string", "string", "position_changed") for c in (
+    ("loan_id", "string", "string", "same", "o_custkey"), ("id", "string", "string", "same", "o_orderkey"),
+    ("dark", "boolean", "boolean", "same", "o_orderstatus"),
+    ("published_at", "timestamp_ntz", "timestamp_ntz", "same", None),
+    ("portfolios_created_at", "timestamp_ntz", "timestamp_ntz", "same", None),
+    ("accounts_created_at", "timestamp_ntz", "timestamp_ntz", "same", None),
+    ("accounts_updated_at", "timestamp_ntz", "timestamp_ntz", "same", None),
+    ("accounts_build_end_time", "timestamp_ntz", None, "removed", None),
+    ("servicing_account_id", "string", "string", "position_changed", "o_custkey"),
+    ("etl_ingestion_time", "timestamp_ntz", "date", "type_changed", None),
+    ("source_file_creation_time", "timestamp_ntz", "timestamp_ntz", "position_changed", None),
+    *[(c, "string", "string", "position_changed", None) for c in (
         "loan_data", "customer_information", "sale_info", "settlements", "installments", "bankruptcy_timeline",
         "bankruptcy_claims", "collection_cases", "financial_owners", "operational_charge_offs", "original_installments",
         "treasury_charge_offs", "payment_plans")],
-    ("servicing_region", None, "string", "added"), ("*", None, None, "different"),
+    ("servicing_region", None, "string", "added", "o_custkey"), ("*", None, None, "different", None),
 ]
-OPERATORS["outer_schema_drift"] = (
-    "SELECT 'column' AS kind, name AS \"column\", before_type, after_type, status FROM (VALUES "
-    + ", ".join("(" + ", ".join("CAST(NULL AS VARCHAR)" if v is None else f"'{v}'" for v in row) + ")" for row in _OUTER)
-    + ") t(name, before_type, after_type, status)")
+OPERATORS["outer_schema_drift"] = outer_columns_sql(_OUTER)
+OPERATORS["payload_path_drift"] = path_drift_sql(_PAYLOAD_KEYS, _KEY_SOURCE)
+OPERATORS["payload_schema"] = schema_sql(_PAYLOAD_KEYS, _KEY_SOURCE)
+OPERATORS["schema_drift"] = schema_drift_sql(_PAYLOAD_KEYS, _KEY_SOURCE, _OUTER)
 
 ORACLE_SQL: dict[str, str] = {**TABLES, **OBSERVED, **OPERATORS}

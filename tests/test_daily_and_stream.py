@@ -29,7 +29,7 @@ def test_run_daily(spark):
     second = run_daily(spark, drops, out, D2, payload_drift=True)
     assert second["drift"] == "same"
     drift = spark.read.parquet(second["schema_drift"]).collect()
-    assert {r.column: r.status for r in drift if r.kind == "payload"}["installments"] == "type_changed"
+    assert {(r.column, r.path): r.status for r in drift if r.kind == "path"}["installments", "$[].currency"] == "added"
     ai = spark.read.parquet(os.path.join(out, "active_installment"))
     assert {r.extract_date for r in ai.select("extract_date").distinct().collect()} == {D1, D2}
     assert len(first["tables"]) == 11
@@ -70,7 +70,7 @@ def test_run_daily_contract_and_drift_gates(spark):
     assert r3["status"] == "schema_changed" and "tables" not in r3 and r3["drift"] == "changed"
     rep = {(r.kind, r.column): r.status for r in spark.read.parquet(r3["schema_drift"]).collect()}
     assert rep[("column", "payment_plans")] == "added"
-    assert rep[("payload", "payment_plans")] == "added"
+    assert rep[("path", "payment_plans")] == "added"
     assert rep[("column", "extra")] == "position_changed"  # payment_plans came back before it
 
 
