@@ -19,7 +19,7 @@ from loanweave.functions.json import (
     array_elements, array_or_object, first_event_date, parse_array, parse_object, path_text,
 )
 from loanweave.functions.keys import hash_concat, surrogate_key
-from loanweave.operators import drift, sink
+from loanweave.operators import drift, publish, sink
 from loanweave.operators.snapshot import non_empty, rename_by_mapping, visible
 from loanweave.plans import tables as TB
 from loanweave.session import scratch_path
@@ -273,6 +273,30 @@ def sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(out).filter(F.col("extract_date") == F.lit(SINK_DATE))
 
 
+# The tables and date of the publication check.
+PUBLISHED_TABLES = ("active_installment", "treasury_charge_off")
+
+
+def published_date(spark, sf_dir):
+    """Rows that readers see of a date: a first run, a second one that replaces it, and a third
+    that dies before its commit, after it has written a table."""
+    root = scratch_path(spark, "published", uuid.uuid4().hex)
+
+    def tables(half):
+        snap = portfolio_snapshot(spark, sf_dir, half)
+        return {n: TB.payload_table(TB.latest(snap), TB.PAYLOAD_TABLES[n]) for n in PUBLISHED_TABLES}
+
+    for half in ("before", None):
+        with publish.Publication(spark, root, SINK_DATE, SINK_AS_OF) as run:
+            for name, df in tables(half).items():
+                run.write(df, name)
+    dead = publish.Publication(spark, root, SINK_DATE, SINK_AS_OF)
+    dead.write(tables("after")[PUBLISHED_TABLES[0]], PUBLISHED_TABLES[0])
+    seen = [publish.read_published(spark, root, n).select(F.lit(n).alias("table_name"), "extract_date", "loan_id")
+            for n in PUBLISHED_TABLES]
+    return seen[0].unionByName(seen[1]).groupBy("table_name", "extract_date", "loan_id").agg(F.count("*").alias("n_rows"))
+
+
 active_installment_q = _payload_query("active_installment", False)
 
 TABLE_QUERIES: dict[str, Query] = {
@@ -323,6 +347,7 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "schema_drift": schema_drift,
     "outer_schema_drift": outer_schema_drift,
     "sink_roundtrip": sink_roundtrip,
+    "published_date": published_date,
 }
 
 QUERIES: dict[str, Query] = {**TABLE_QUERIES, **OBSERVED_QUERIES, **OPERATOR_QUERIES}

@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanweave.operators import sink
+from loanweave.operators.publish import Publication
 from loanweave.operators.snapshot import visible
 from loanweave.plans import tables as TB
 from loanweave.session import plan_size_bytes, scratch_path, sized_shuffles
@@ -94,14 +94,15 @@ def widest_table_bytes(snapshot: DataFrame, shared: bool) -> int:
 def run_mart(spark: SparkSession, snapshot: DataFrame, out_root: str,
              extract_date: dt.date, as_of: dt.datetime | None = None,
              observed: bool = False, shared: bool = False, parallelism: int = 4) -> dict[str, str]:
-    """Build and write every table under ``out_root/<table>/extract_date=D``."""
+    """Build and write every table, then publish them together as the tables of
+    ``extract_date`` (:mod:`loanweave.operators.publish`); returns their folders."""
     with sized_shuffles(spark, widest_table_bytes(snapshot, shared)):
         lat, staged = stage_latest(spark, snapshot) if shared else (None, None)
         try:
             frames = build_mart(spark, snapshot, observed=observed, latest_frame=lat)
-            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-                futures = {name: pool.submit(sink.write_table, df, out_root, name, extract_date, as_of)
-                           for name, df in frames.items()}
+            with Publication(spark, out_root, extract_date, as_of) as run, \
+                    ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                futures = {name: pool.submit(run.write, df, name) for name, df in frames.items()}
                 return {name: f.result() for name, f in futures.items()}
         finally:
             if staged:

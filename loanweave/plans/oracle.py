@@ -461,6 +461,10 @@ OPERATORS["sink_roundtrip"] = (
     "SELECT t.*, TIMESTAMP '2024-01-02 06:00:00' AS extract_timestamp, "
     f"DATE '2024-01-02' AS extract_date FROM ({TABLES['active_installment']}) t")
 
+OPERATORS["published_date"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, DATE '2024-01-02' AS extract_date, loan_id, count(*) AS n_rows "
+    f"FROM ({TABLES[name]}) t GROUP BY loan_id" for name in ("active_installment", "treasury_charge_off"))
+
 
 # Keys of each payload element as the fixture writes them: name -> (line
 # filter, [(key, condition under which it is present)]).  NULL values are

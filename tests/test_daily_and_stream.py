@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
+from loanweave.operators.publish import read_published
 from loanweave.plans.daily import run_daily, snapshot_file
 from loanweave.sources.fixture import build_snapshot
 from loanweave.sources.snapshot import write_snapshot
@@ -30,7 +31,7 @@ def test_run_daily(spark):
     assert second["drift"] == "same"
     drift = spark.read.parquet(second["schema_drift"]).collect()
     assert {(r.column, r.path): r.status for r in drift if r.kind == "path"}["installments", "$[].currency"] == "added"
-    ai = spark.read.parquet(os.path.join(out, "active_installment"))
+    ai = read_published(spark, out, "active_installment")
     assert {r.extract_date for r in ai.select("extract_date").distinct().collect()} == {D1, D2}
     assert len(first["tables"]) == 11
 
@@ -40,14 +41,14 @@ def test_watch_drops_processes_each_dated_file(spark):
     q = watch_drops(spark, drops, out, checkpoint=tempfile.mkdtemp(prefix="stream-"))
     q.awaitTermination(600)
     assert q.exception() is None
-    got = spark.read.parquet(os.path.join(out, "loan_payment_plan"))
+    got = read_published(spark, out, "loan_payment_plan")
     days = {r.extract_date for r in got.select("extract_date").distinct().collect()}
     assert days == {D1, D2}
     # each date's tables equal a batch run over that file alone
     daily_out = tempfile.mkdtemp(prefix="mart-")
     run_daily(spark, drops, daily_out, D1)
     a = got.filter(got.extract_date == D1).drop("extract_timestamp").collect()
-    b = spark.read.parquet(os.path.join(daily_out, "loan_payment_plan")) \
+    b = read_published(spark, daily_out, "loan_payment_plan") \
         .drop("extract_timestamp").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
@@ -89,12 +90,11 @@ def test_watcher_leaves_a_date_alone_when_a_file_breaks_the_contract(spark):
     write_snapshot(snap, snapshot_file(root, D1))
     ckpt = tempfile.mkdtemp(prefix="stream-")
     watch_drops(spark, root, out, checkpoint=ckpt).awaitTermination(600)
-    table = os.path.join(out, "active_installment")
-    n = spark.read.parquet(table).count()
+    n = read_published(spark, out, "active_installment").count()
     again = tempfile.mkdtemp(prefix="drops-")
     snap.drop("dark").write.parquet(snapshot_file(again, D1))
     watch_drops(spark, again, out, checkpoint=tempfile.mkdtemp(prefix="stream-")).awaitTermination(600)
-    assert spark.read.parquet(table).count() == n > 0
+    assert read_published(spark, out, "active_installment").count() == n > 0
     status = spark.read.parquet(os.path.join(out, "drop_status")).collect()
     assert [(r.status, list(r.problems)) for r in status] == [("contract_violation", ["missing dark"])]
 
@@ -114,5 +114,5 @@ def test_pending_list_survives_a_crash_and_a_late_marker_needs_no_drop(spark):
     assert S._read_pending(spark, ckpt) == waiting
     open(os.path.join(folder, "_SUCCESS"), "w").close()  # the marker comes late, without a data file
     watch_drops(spark, root, out, checkpoint=ckpt).awaitTermination(600)
-    assert spark.read.parquet(os.path.join(out, "active_installment")).count() > 0
+    assert read_published(spark, out, "active_installment").count() > 0
     assert S._read_pending(spark, ckpt) == set()

@@ -10,6 +10,7 @@ import time
 
 from loanweave.operators import sink
 from loanweave.operators.drift import payload_key_counts
+from loanweave.operators.publish import read_published
 from loanweave.plans.daily import run_daily, snapshot_file
 from loanweave.plans.mart import run_mart
 from loanweave.sources.fixture import build_snapshot
@@ -83,8 +84,8 @@ def test_snapshot_arriving_over_two_batches_is_built_whole(spark):
     expect_root = tempfile.mkdtemp(prefix="mart-")
     run_mart(spark, read_snapshot(spark, folder), expect_root, D, dt.datetime(2024, 1, 1))
     for table in ("active_installment", "loan_payment_plan", "bankruptcy"):
-        a = spark.read.parquet(os.path.join(out, table)).drop("extract_timestamp")
-        b = spark.read.parquet(os.path.join(expect_root, table)).drop("extract_timestamp")
+        a = read_published(spark, out, table).drop("extract_timestamp")
+        b = read_published(spark, expect_root, table).drop("extract_timestamp")
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -97,6 +98,6 @@ def test_single_file_drop_is_built(spark):
     os.makedirs(root, exist_ok=True)
     shutil.copy(part, snapshot_file(root, D))          # the snapshot is one parquet file
     watch_drops(spark, root, out, checkpoint=tempfile.mkdtemp(prefix="stream-")).awaitTermination(600)
-    got = spark.read.parquet(os.path.join(out, "active_installment"))
+    got = read_published(spark, out, "active_installment")
     assert {r.extract_date for r in got.select("extract_date").distinct().collect()} == {D}
     assert run_daily(spark, root, tempfile.mkdtemp(prefix="mart-"), D)["status"] == "done"
