@@ -74,12 +74,12 @@ def main() -> None:
     mart = {}
     if not only:
         snap = portfolio_snapshot(spark, sf_dir)
-        for label, shared in (("mart_shared_latest", True), ("mart_latest_per_table", False)):
+        for label, ranking in (("mart_shared_latest", "shared"), ("mart_latest_per_table", "table"), ("mart_latest_ids", "late")):
             out = scratch_path(spark, "bench_out", label)
             t = time.perf_counter()
             try:
                 run_mart(spark, snap, out, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2),
-                         observed=True, shared=shared)
+                         observed=True, ranking=ranking)
             except Exception as e:  # noqa: BLE001
                 errors[label] = str(e).splitlines()[0][:300]
                 continue

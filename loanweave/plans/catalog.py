@@ -19,13 +19,14 @@ from loanweave.functions.json import (
     array_elements, array_or_object, first_event_date, parse_array, parse_object, path_text,
 )
 from loanweave.functions.keys import hash_concat, surrogate_key
-from loanweave.operators import drift, publish, sink
+from loanweave.operators import drift, late, publish, sink
 from loanweave.operators.snapshot import non_empty, rename_by_mapping, visible
 from loanweave.plans import tables as TB
 from loanweave.session import scratch_path
+from loanweave.sources import bucketed
 from loanweave.sources import contract as C
 from loanweave.sources.fixture import read_table
-from loanweave.sources.snapshot import portfolio_footer, portfolio_snapshot
+from loanweave.sources.snapshot import portfolio_footer, portfolio_layout, portfolio_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +98,20 @@ def latest_per_key_q(spark, sf_dir):
     return TB.latest(_snap(spark, sf_dir)).select("loan_id", "id", "published_at")
 
 
+def latest_by_ids(spark, sf_dir):
+    """Latest versions by a ranking of ids alone, a payload fetched for the winners."""
+    vis = visible(_snap(spark, sf_dir))
+    ids = late.latest_ids(vis)
+    return late.fetch_latest(vis, ids, ties=late.has_ties(ids)).select(
+        "loan_id", "id", "published_at", F.coalesce(F.json_array_length("installments"), F.lit(0)).alias("n_installments"))
+
+
+def latest_of_buckets(spark, sf_dir):
+    """Latest versions of the bucketed layout, ranked without a shuffle."""
+    return bucketed.latest_of_layout(spark, portfolio_layout(spark, sf_dir)).select(
+        "loan_id", "id", "published_at", F.coalesce(F.json_array_length("installments"), F.lit(0)).alias("n_installments"))
+
+
 def non_empty_payload(spark, sf_dir):
     return non_empty(_snap(spark, sf_dir), "installments").select("loan_id", "id")
 
@@ -325,6 +340,8 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "rename_by_mapping": rename_by_mapping_q,
     "visible_rows": visible_rows,
     "latest_per_key": latest_per_key_q,
+    "latest_by_ids": latest_by_ids,
+    "latest_of_buckets": latest_of_buckets,
     "non_empty_payload": non_empty_payload,
     "json_object_fields": json_object_fields,
     "json_array_elements": json_array_elements,

@@ -1,16 +1,18 @@
 """The whole mart as one Spark application.
 
-By default every table ranks the versions itself: its shuffle carries the ids,
-``loan_data`` and the one or two payloads it unpacks, never the other columns,
-and partial top-1 drops most older versions before it.  Where a snapshot holds
-many versions per loan in no order, ``shared=True`` ranks once, stages the whole
-latest frame in the shared folder and lets the tables read that; it moves all
-columns once.  Table writes are submitted concurrently so small tables overlap
-with large ones.
+Three ways to the latest version of a loan.  By default (``table``) every table
+ranks the versions itself: its shuffle carries the ids, ``loan_data`` and the one or
+two payloads it unpacks, never the other columns, and partial top-1 drops most
+older versions before it.  ``late`` ranks ids once for all tables and lets each
+fetch its columns of the winners (:mod:`loanweave.operators.late`).  ``shared``
+ranks once, stages the whole latest frame in the shared folder and lets the
+tables read that; it moves all columns once.  Table writes are submitted
+concurrently so small tables overlap with large ones, and published together.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -18,10 +20,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanweave.operators import late
 from loanweave.operators.publish import Publication
 from loanweave.operators.snapshot import visible
 from loanweave.plans import tables as TB
-from loanweave.session import plan_size_bytes, scratch_path, sized_shuffles
+from loanweave.session import drop_staged, plan_size_bytes, scratch_path, sized_shuffles
 from loanweave.sources import contract
 
 Build = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]  # (snapshot, visible, latest)
@@ -92,18 +95,26 @@ def widest_table_bytes(snapshot: DataFrame, shared: bool) -> int:
 
 
 def run_mart(spark: SparkSession, snapshot: DataFrame, out_root: str,
-             extract_date: dt.date, as_of: dt.datetime | None = None,
-             observed: bool = False, shared: bool = False, parallelism: int = 4) -> dict[str, str]:
+             extract_date: dt.date, as_of: dt.datetime | None = None, observed: bool = False,
+             ranking: str = "table", parallelism: int = 4) -> dict[str, str]:
     """Build and write every table, then publish them together as the tables of
-    ``extract_date`` (:mod:`loanweave.operators.publish`); returns their folders."""
-    with sized_shuffles(spark, widest_table_bytes(snapshot, shared)):
-        lat, staged = stage_latest(spark, snapshot) if shared else (None, None)
-        try:
-            frames = build_mart(spark, snapshot, observed=observed, latest_frame=lat)
-            with Publication(spark, out_root, extract_date, as_of) as run, \
-                    ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-                futures = {name: pool.submit(run.write, df, name) for name, df in frames.items()}
-                return {name: f.result() for name, f in futures.items()}
-        finally:
-            if staged:
-                _drop_path(spark, staged)
+    ``extract_date`` (:mod:`loanweave.operators.publish`); returns their folders.
+    ``ranking``: ``table``, ``late`` or ``shared``, see above."""
+    if ranking not in ("table", "late", "shared"):
+        raise ValueError(f"unknown ranking {ranking}")
+    with contextlib.ExitStack() as held:
+        held.enter_context(sized_shuffles(spark, widest_table_bytes(snapshot, ranking == "shared")))
+        lat = None
+        if ranking == "shared":
+            lat, staged = stage_latest(spark, snapshot)
+            held.callback(_drop_path, spark, staged)
+        elif ranking == "late":
+            ids = late.latest_ids(visible(snapshot))
+            held.callback(drop_staged, ids)
+            held.enter_context(late.bloom_filters(spark, ids.count()))
+            lat = late.fetch_latest(visible(snapshot), ids, ties=late.has_ties(ids))
+        frames = build_mart(spark, snapshot, observed=observed, latest_frame=lat)
+        with Publication(spark, out_root, extract_date, as_of) as run, \
+                ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            futures = {name: pool.submit(run.write, df, name) for name, df in frames.items()}
+            return {name: f.result() for name, f in futures.items()}

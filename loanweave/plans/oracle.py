@@ -461,6 +461,11 @@ OPERATORS["sink_roundtrip"] = (
     "SELECT t.*, TIMESTAMP '2024-01-02 06:00:00' AS extract_timestamp, "
     f"DATE '2024-01-02' AS extract_date FROM ({TABLES['active_installment']}) t")
 
+OPERATORS["latest_by_ids"] = OPERATORS["latest_of_buckets"] = _with(_BASE) + """
+SELECT loan_id, sid AS id, o_orderdate AS published_at,
+       (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = lat.o_orderkey)::INT AS n_installments
+FROM lat"""
+
 OPERATORS["published_date"] = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, DATE '2024-01-02' AS extract_date, loan_id, count(*) AS n_rows "
     f"FROM ({TABLES[name]}) t GROUP BY loan_id" for name in ("active_installment", "treasury_charge_off"))

@@ -23,6 +23,7 @@ from loanweave.functions.json import (
     element_count, element_rows, first_event_date, parse_object,
 )
 from loanweave.functions.keys import surrogate_key
+from loanweave.operators.joins import join_aggregate
 from loanweave.operators.payload import bind_array, explode_elements, fan_out, values_at
 from loanweave.operators.snapshot import latest_per_key, non_empty, visible
 from loanweave.session import stage
@@ -417,7 +418,7 @@ def interest_rate_observed(visible_frame: DataFrame) -> DataFrame:
                      "loan_versions")
     # Inner join for loans with entries: AQE may split a skewed partition on
     # either side of an inner join (not the optional side of an outer join).
-    with_entries = versions.join(entries, versions.loan_id == entries.json_loan_id, "inner")
+    with_entries = join_aggregate(entries, versions, F.col("loan_id") == F.col("json_loan_id"), staged=lambda df, _: df)
     # Loans without any entry: one NULL rate/date row each.  The anti side is
     # one row per loan, so a loan with many entries never weighs on it.
     loans_with_entries = entries.select("json_loan_id").distinct()
@@ -443,16 +444,15 @@ def interest_rate_observed_versions(visible_frame: DataFrame) -> DataFrame:
     """Per visible version: the snapshot-side columns of the source's product
     and ``schedule_rows``, the number of schedule entries it is paired with
     (its rows in the product are ``greatest(schedule_rows, 1)``)."""
-    pooled = stage(_pooled_schedule(visible_frame).groupBy("json_loan_id")
-                   .agg(F.count(F.lit(1)).alias("schedule_rows")), "schedule_rows")
+    pooled = (_pooled_schedule(visible_frame).groupBy("json_loan_id")
+              .agg(F.count(F.lit(1)).alias("schedule_rows"))).alias("p")
     ld = parse_object("loan_data", _LOAN_IDS)
     v = visible_frame.withColumnsRenamed(INTEREST_RATE_RENAMES).select(
         "loan_id", "id", ld["loan_uuid"].alias("loan_uuid"), "created_time", "updated_time",
-        "end_date")
-    # The left side is one row per version, so a hot loan sits on the side
-    # AQE can split; the right side is a staged row per loan (an aggregate
-    # above its shuffle would keep AQE from splitting either side).
-    j = v.alias("v").join(pooled.alias("p"), F.col("v.loan_id") == F.col("p.json_loan_id"), "left")
+        "end_date").alias("v")
+    # The left side is one row per version, so a hot loan sits on the side AQE can split.
+    j = join_aggregate(v, pooled, F.col("v.loan_id") == F.col("p.json_loan_id"), "left",
+                       lambda df, label: stage(df, label).alias("p"), "schedule_rows")
     return j.select("v.*", F.coalesce(F.col("p.schedule_rows"), F.lit(0)).alias("schedule_rows"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import math
 import os
@@ -79,14 +80,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def app_scratch(spark: SparkSession, *parts: str) -> str:
+    """A path under the shared folder that belongs to this application; all of
+    it is deleted when the driver process ends."""
+    root = scratch_path(spark, "staging", spark.sparkContext.applicationId)
+    if root not in _AT_EXIT:
+        _AT_EXIT.add(root)
+        atexit.register(_remove, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), root)
+    return os.path.join(root, *parts)
+
+
+_AT_EXIT: set[str] = set()
+
+
+def _remove(jvm, conf, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone before the driver process
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: a lineage cut
     that survives lost executors, and a scan whose joins AQE can split."""
-    path = scratch_path(df.sparkSession, "staging", f"{label}_{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    path = app_scratch(df.sparkSession, f"{label}_{uuid.uuid4().hex}")
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files behind a frame made by :func:`stage`, before the application ends."""
+    sc = df.sparkSession.sparkContext
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _remove(sc._jvm, sc._jsc.hadoopConfiguration(), folder)
+
+
 # Shuffle sizing: in-memory rows of JSON-heavy snapshots are several times
 # their compressed parquet size; aim for ~128 MB shuffle partitions.
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024

@@ -17,7 +17,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from loanweave.session import prepare_session, scratch_path
-from loanweave.sources import contract, fixture
+from loanweave.sources import bucketed, contract, fixture
 
 _INPUTS = ("orders", "customer", "events", "lineitem")
 _STAGING_LOCK = threading.Lock()  # queries on driver threads never stage one path twice
@@ -99,3 +99,15 @@ def portfolio_snapshot(spark: SparkSession, sf_dir: str, half: str | None = None
 def portfolio_footer(spark: SparkSession, sf_dir: str, half: str | None = None) -> DataFrame:
     """The staged snapshot under its own file schema, whatever the contract says."""
     return spark.read.parquet(portfolio_file(spark, sf_dir, half))
+
+
+def portfolio_layout(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the staged snapshot's bucketed layout, written on first use."""
+    snap = portfolio_snapshot(spark, sf_dir)
+    path = scratch_path(spark, "snapshots", f"layout_{_fingerprint(spark, sf_dir, None)}")
+    with _STAGING_LOCK:
+        if not bucketed.layout_ready(spark, path):
+            fs, p = _fs_path(spark, path)
+            fs.delete(p, True)  # what a writer that died left
+            bucketed.write_layout(snap, path)
+    return path

@@ -63,8 +63,9 @@ def test_drift_reports_added_and_removed_key(spark):
     status = {r.key: r.status for r in rows}
     assert status["currency"] == "added" and status["late_fees_amount"] == "removed"
     assert status["id"] == "kept"
-    sd = {(r.kind, r.column): r.status for r in QUERIES["schema_drift"](spark, SF_SMALL).collect()}
-    assert sd[("payload", "installments")] == "type_changed"
+    sd = {(r.kind, r.column, r.path): r.status for r in QUERIES["schema_drift"](spark, SF_SMALL).collect()}
+    assert sd[("path", "installments", "$[].currency")] == "added"
+    assert sd[("path", "operational_charge_offs", "$[].charge_off_amount.fees")] == "same"
     assert sd[("payload", "loan_data")] == "same" and sd[("payload", "customer_information")] == "same"
     # The halves are compared by their own footers.
     assert sd[("column", "*")] == "different" and sd[("column", "loan_id")] == "same"
