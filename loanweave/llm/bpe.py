@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanweave.llm.common import ship_package
+
 DEFAULT_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # Entries of the table of encoded pieces a task keeps between blocks.
 MAX_PIECES = 600_000
@@ -235,6 +237,7 @@ def map_tokens(docs: DataFrame, row: Callable[[CorpusBpe, list[int]], tuple], fi
                id_col: str | Column = "doc_id", text_col: str | Column = "text",
                ranks_path: str = DEFAULT_RANKS) -> DataFrame:
     """(doc_id, *fields): ``row(encoder, ids)`` gives the fields of a document."""
+    ship_package(docs.sparkSession)
     bc = docs.sparkSession.sparkContext.broadcast(_rank_bytes(ranks_path))  # under 1 MB
     schema = pa.schema([(n, t) for n, t, _ in fields])
 

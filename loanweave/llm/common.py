@@ -4,7 +4,6 @@ in the shared folder, Arrow batches, fingerprints and connected components."""
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -15,7 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.session import scratch_path
+from loanweave.operators.joins import join_aggregate
+from loanweave.session import drop_staged, stage
 
 
 _SHIPPED: set[str] = set()
@@ -40,24 +40,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a lineage cut that
-    survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "llm", f"{label}_{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_staged(df: DataFrame) -> None:
-    """Delete the files behind a frame made by :func:`stage`."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        p = jvm.org.apache.hadoop.fs.Path(parent)
-        p.getFileSystem(conf).delete(p, True)
-
-
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 schema: str) -> DataFrame:
     """``mapInArrow`` with one output batch per input batch."""
@@ -149,12 +131,17 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 # ---- connected components -----------------------------------------------------
 
+def _as_is(df: DataFrame, label: str) -> DataFrame:
+    return df  # staged already
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest node reachable from every node that has a link.
 
     Alternating large-star / small-star contraction: each round is two
     aggregations (partial minimum before the shuffle, so a hub sends one row
-    per task) and two joins on the node (a hub's partition is split by AQE).
+    per task) and two joins on the node.  The aggregates are staged before the
+    joins, so that AQE can split a hub's partition.
     Rounds are staged in the shared folder; only a count and two fingerprints
     of the edge set reach the driver, and equal ones end the rounds.  Returns (node, component_id) for nodes with a link; null ends
     and self-links are ignored.
@@ -164,16 +151,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     e, last = stage(e, "cc"), None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").where("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        nxt = stage(small.unionByName(low2.select("u", F.col("m").alias("v")))
+        low = stage(both.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m")).select(
+            "n", F.least("n", "m").alias("m")), "cc_low")
+        large = stage(join_aggregate(both, low, F.col("u") == F.col("n"), staged=_as_is).where("v > u")
+                      .select(F.col("v").alias("u"), F.col("m").alias("v")), "cc_large")
+        low2 = stage(large.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m")), "cc_low2")
+        small = join_aggregate(large, low2, F.col("u") == F.col("n"), staged=_as_is).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        nxt = stage(small.unionByName(low2.select(F.col("n").alias("u"), F.col("m").alias("v")))
                     .where("u != v").distinct(), "cc")
         mark = nxt.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
-        drop_staged(e)
+        for old in (e, low, large, low2):
+            drop_staged(old)
         e = nxt
         if mark == last:
             break

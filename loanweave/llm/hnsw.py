@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.llm.common import connected_components, stage
+from loanweave.llm.common import connected_components, stage, ship_package
 
 THRESHOLD = 0.9
 SHARD_ROWS = 32768
@@ -272,6 +272,7 @@ def join_links(g: Graph, unit: np.ndarray, rep: np.ndarray, copies: np.ndarray,
 def link_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS,
                     query_rows: int = QUERY_ROWS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
+    ship_package(vectors.sparkSession)
     e = F.col("embedding").cast("array<double>")
     usable = F.coalesce(
         F.col("vec_id").isNotNull() & (F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

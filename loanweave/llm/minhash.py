@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.llm.common import (connected_components, drop_staged, lower_ascii, mix64, span_hashes, stage,
+from loanweave.llm.common import (connected_components, drop_staged, lower_ascii, mix64, span_hashes, stage, ship_package,
                                   text_bytes, word_spans)
 from loanweave.session import scratch_path
 
@@ -313,6 +313,7 @@ def _block_links(members: DataFrame, docs: _Bucketed, k: int, percent: int) -> D
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
+    ship_package(docs.sparkSession)
     sigs = stage(signatures(docs, k), "minhash_sigs")
     usable = sigs.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("fp1", "fp2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"))

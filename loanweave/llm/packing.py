@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanweave.llm.common import stage
+from loanweave.llm.common import stage, ship_package
 
 DEFAULT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 1024
@@ -181,6 +181,7 @@ def pack(docs: DataFrame, window: int = WINDOW, weights: dict[str, float] | None
     all tokens, so that all queues end together.  ``ids_crc32`` is over
     little-endian 32-bit ids; ``ids`` are those of the piece.
     """
+    ship_package(docs.sparkSession)
     id_type = docs.select("doc_id").schema[0].dataType.simpleString()
     queues = stage(tokenize_queues(docs, tokenizer_path, end_id), "queues")
     parts = queues.groupBy("source", "part").agg(F.sum("n").alias("tokens"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.llm.common import (map_batches, mix64, span_hashes, stage, text_bytes, word_spans)
+from loanweave.llm.common import (map_batches, mix64, span_hashes, stage, text_bytes, word_spans, ship_package)
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -199,6 +199,7 @@ def fit_mcd(rows: DataFrame, key: str) -> DataFrame:
 
 def score_quality(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -> DataFrame:
     """(doc_id, counts..., base_failed, distance, kept)."""
+    ship_package(docs.sparkSession)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     said = lambda *c: F.to_json(F.struct(*[F.coalesce(F.col(x), F.lit("\u0000")).alias(x) for x in c]))
     counts = stage(text_counts(docs).withColumn("base_failed", failed).withColumn("g3", said("lang", "source"))
