@@ -9,8 +9,8 @@ digests and the length its header states.
 Scale: payloads are hashed in the scan, so copies are found by shuffling ids
 and digests only (partial maximum per digest; a payload that a third of all
 pages share sends one row per task).  Payload bytes move once to be stored and
-once to be read back; the joins have no aggregate above them, so AQE splits a
-hot digest.  Both tables are plain Parquet in the shared folder.
+once to be read back; the largest ids per digest are staged before they are
+joined, so AQE splits a hot digest.  Both tables are plain Parquet in the shared folder.
 
 Defined results: a null page is an empty payload; a null URL is recorded as
 ``urn:page:<id>``, line breaks in URLs are percent-encoded; copies with the
@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.session import scratch_path
+from loanweave.operators.joins import join_aggregate
+from loanweave.session import app_scratch, drop_staged, stage
 
 CRLF = "\r\n"
 #: RFC 4648 digits.
@@ -80,9 +81,9 @@ def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 0, date:
     full = _with_payload(pages)
     ids = full.select("page_id", "url", F.sha2("payload", 256).alias("digest"),
                       F.octet_length("payload").cast("long").alias("n_bytes"), base32_sha1(F.col("payload")).alias("sha1"))
-    keep = ids.groupBy(F.col("digest").alias("k_digest")).agg(F.max("page_id").alias("k_page"))
+    keep = stage(ids.groupBy(F.col("digest").alias("k_digest")).agg(F.max("page_id").alias("k_page")), "warc_keep")
     revisit = ~F.col("page_id").eqNullSafe(F.col("k_page")) & (F.col("n_bytes") >= min_revisit_bytes)
-    headers = ids.join(keep, F.col("digest") == F.col("k_digest")).select(
+    headers = join_aggregate(ids, keep, F.col("digest") == F.col("k_digest"), staged=lambda df, _: df).select(
         "page_id", "digest", record_header(F.col("page_id"), F.col("url"), F.col("n_bytes"), F.col("sha1"),
                                            revisit, F.col("k_page"), date).alias("header"))
     headers.write.option("compression", "zstd").parquet(f"{path}/headers")
@@ -93,6 +94,7 @@ def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 0, date:
     if twice:  # repeated rows: their bytes too are stored once
         stored = stored.dropDuplicates(["digest"])
     stored.write.option("compression", "zstd").parquet(f"{path}/payloads")
+    drop_staged(keep)
 
 
 def _field(name: str) -> Column:
@@ -121,7 +123,7 @@ def read_archive(spark: SparkSession, path: str, id_type: str = "bigint") -> Dat
 
 
 def archive_path(spark: SparkSession) -> str:
-    return scratch_path(spark, "llm", f"warc_{uuid.uuid4().hex}")
+    return app_scratch(spark, f"warc_{uuid.uuid4().hex}")
 
 
 def export_warc(records: DataFrame, path: str) -> None:
