@@ -18,15 +18,21 @@ grammar's own weights are fixed values below.  Scoring is one pass without a
 shuffle: an Aho-Corasick automaton finds the words that can weigh, and only
 their clauses are parsed.
 
+While learning, a text counts ``MOST_PER_TEXT`` times at most for a stem.
+
 Defined results: a null or empty text scores the prior; labels on repeated
 doc_ids each count; null labels are not read; without labelled rows of both
-kinds all texts score 0 (1 if all are toxic).
+kinds all texts score 0 (1 if all are toxic).  Repeated documents give repeated
+results; very long texts and clauses are read whole; an empty table gives no
+rows; equal stems cannot tie, each has one weight; other columns of the input
+are not read, and :func:`keep_civil` hands them on.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.llm.common import drop_staged, mix64, stage
+from loanweave.llm.common import drop_staged, mix64, ship_package, stage
 from loanweave.llm.langid import held_out
 from loanweave.llm.minhash import shingle_sets
 
@@ -48,7 +54,6 @@ MIN_STEM_ODDS = 1.8  # log of the ratio of a stem's rates in toxic and clean tex
 MIN_DOC_ODDS = 1.2  # the same for the shares of texts that have the stem
 MIN_EVIDENCE = 15.0  # toxic texts with the stem times its log-odds
 MOST_PER_TEXT = 6  # times that one text counts for a stem
-CONTEXT = 240  # characters of a clause read on either side of a match
 THRESHOLD = 0.3
 
 # Word classes of the grammar, in English, German, French and Spanish.
@@ -174,18 +179,20 @@ class ClauseScorer:
         return total if found else None
 
     def clauses(self, text: str) -> Iterator[float]:
+        """Weights of the clauses that hold a match, each read whole, from punctuation to
+        punctuation, and once, however long it is and however many matches it has."""
         low = text.lower()
-        done = -1
+        ends: list[int] | None = None
+        done = 0  # where the last clause that was read ends
         for last, n in self.finder.iter(low):
             first = last - n + 1
             if first < done or (first and low[first - 1].isalpha()):
                 continue
-            a = max(done, first - CONTEXT, 0)
-            left = low[a:first]
-            cut = [m.end() for m in _CLAUSE_END.finditer(left)]
-            begin = a + (cut[-1] if cut else 0)
-            stop = _CLAUSE_END.search(low, last, min(len(low), last + CONTEXT))
-            done = stop.start() if stop else min(len(low), last + CONTEXT)
+            if ends is None:
+                ends = [m.start() for m in _CLAUSE_END.finditer(low)]
+            k = bisect_left(ends, first)
+            begin = ends[k - 1] + 1 if k else 0
+            done = ends[k] if k < len(ends) else len(low)
             w = self.clause_weight(low[begin:done])
             if w is not None:
                 yield w
@@ -223,6 +230,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     threshold, so only that share of the documents' texts is shuffled, whatever the table's
     size.  Tasks count their stems before the shuffle; what reaches the driver are the
     stems that pass the tests below."""
+    ship_package(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
         "doc_id", (F.col("toxic") > 0).cast("int").alias("y"))
     n = known.count()
@@ -286,6 +294,7 @@ def _scorer(model: Model) -> ClauseScorer:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every text."""
+    ship_package(docs.sparkSession)
     frame = docs.select("doc_id", F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,6 +309,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_civil(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (all columns) that score under ``threshold``."""
+    ship_package(docs.sparkSession)
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
