@@ -7,13 +7,15 @@ few, long phrases; the language with the fewest phrases per symbol wins.
 
 The automata are transition tables, dense for the commonest letters and sorted
 arrays of edges for all others, so every letter of the excerpts counts, however
-many there are.  A task walks all documents of a
-batch through all languages at once, one symbol of every lane per step.  Long
-texts are cut into lanes of ``LANE`` symbols (a phrase ends where a lane ends),
-so a very long text costs no more than as many short ones.  Nothing is
-shuffled but the training excerpt, at most ``SAMPLE_DOCS`` documents of
-``SAMPLE_CHARS`` characters per language, whose text each worker receives and
-indexes itself.
+many there are.  A task walks all documents of a batch through all languages at
+once, one symbol of every lane per step.  A long text is cut into lanes of
+``LANE`` symbols that are parsed side by side; each then reads on beyond its end
+until it starts a phrase where the next lane's own parse starts one.  From there on both are
+equal, as a phrase depends only on where it starts, so the counts are those of
+one parse from the first symbol to the last.  Nothing is shuffled but the
+training excerpt: at most ``SAMPLE_DOCS`` documents per language, each with one run of at
+most ``SAMPLE_CHARS`` characters that starts at a hashed place in it; each worker receives
+and indexes it itself.
 
 Defined results: ``und`` with score 0 for a text that is null, empty or
 without letters, and for all texts when nothing was learned; ties go to the
@@ -32,9 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanweave.llm.common import byte_slices, ship_package
+
 SAMPLE_DOCS = 48
 SAMPLE_CHARS = 1000
 LANE = 1024
+SLICE_BYTES = 1 << 24
 DENSE_LETTERS = 120  # letters with a column in the dense table; transitions of the rarer ones are sorted edges
 
 OTHER = 1  # symbol of a letter that no language has; 0 is a gap between words
@@ -46,10 +51,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_text(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """Language -> excerpts of the labelled documents first in hash order."""
+    """Language -> excerpts of the labelled documents first in hash order.  The bound is on rows per
+    language and characters per row; where a row's run starts is hashed, so no part of a text is favoured."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
-        F.col("lang").cast("string").alias("lang"), F.substring(F.col("text").cast("string"), 1, sample_chars).alias("part"),
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("doc_id").cast("string")).alias("h"))
+    places = F.greatest(F.length("text") - sample_chars + 1, F.lit(1))
+    rows = rows.select("lang", "h", F.substr("text", (F.pmod("h", places) + 1).cast("int"), F.lit(sample_chars)).alias("part"))
     first = Window.partitionBy("lang").orderBy("h", "part")
     picked = (rows.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= sample_docs)
               .select("lang", "part", "h").collect())  # bounded by the two parameters
@@ -107,6 +115,8 @@ class CrossParser:
     def __init__(self, text_of: dict[str, str], lane: int = LANE):
         self.langs = sorted(text_of)
         self.lane = lane
+        #: Text that is parsed at once: marks and sums take five bytes a symbol and language.
+        self.slice_bytes = SLICE_BYTES // max(1, len(self.langs))
         letters = Counter(c for t in text_of.values() for c in t.lower() if c.isalpha() and len(c) == 1)
         known = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))]
         self.n_symbols = len(known) + 2
@@ -149,49 +159,83 @@ class CrossParser:
         sizes = ends - begins
         lanes = -(-sizes // self.lane)
         doc = np.repeat(np.arange(len(texts)), lanes)
-        k = np.arange(len(doc)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        start = begins[doc] + k * self.lane
-        size = np.minimum(self.lane, ends[doc] - start)
-        out = np.zeros((len(self.langs), len(texts)), np.int64)
-        order = np.argsort(-size, kind="stable")
+        first = np.cumsum(lanes) - lanes
+        start = begins[doc] + (np.arange(len(doc)) - first[doc]) * self.lane
+        stop = np.minimum(start + self.lane, ends[doc])
+        starts = np.zeros((len(self.langs), len(s) + 1), bool)  # where each lane's own parse starts a phrase
+        state = np.empty((len(self.langs), len(doc)), np.int64)
+        order = np.argsort(start - stop, kind="stable")
         step = 4096 // self.symbol.itemsize  # bounds the symbol matrix of a step to 4 MB
         for at in range(0, len(order), step):
             o = order[at:at + step]
-            out += self._walk(s, start[o], size[o], doc[o], len(texts))
+            state[:, o] = self._walk(s, start[o], (stop - start)[o], starts)
+        so_far = np.zeros(starts.shape, np.int32)
+        np.cumsum(starts[:, :-1], axis=1, out=so_far[:, 1:])
+        entry = np.tile(begins, (len(self.langs), 1))
+        out = np.zeros(entry.shape, np.int64)
+        if len(doc) == (lanes > 0).sum():
+            return np.take_along_axis(so_far, np.tile(ends, (len(self.langs), 1)), 1) - np.take_along_axis(so_far, entry, 1), sizes
+        beyond, meets = self._read_on(s, starts, state, stop, ends[doc])
+        todo_l, todo_d = np.nonzero(np.tile(lanes > 0, (len(self.langs), 1)))
+        while len(todo_l):  # a text's lanes one after the other, all texts and languages at once
+            e = entry[todo_l, todo_d]
+            lane = first[todo_d] + np.minimum((e - begins[todo_d]) // self.lane, lanes[todo_d] - 1)
+            out[todo_l, todo_d] += so_far[todo_l, stop[lane]] - so_far[todo_l, e] + beyond[todo_l, lane]
+            entry[todo_l, todo_d] = meets[todo_l, lane]
+            more = meets[todo_l, lane] < ends[todo_d]
+            todo_l, todo_d = todo_l[more], todo_d[more]
         return out, sizes
 
+    def _read_on(self, s, starts, state, stop, end) -> tuple[np.ndarray, np.ndarray]:
+        """Per language and lane: phrases it starts beyond its end, and where it meets the next lanes' parse."""
+        beyond = np.zeros(state.shape, np.int64)
+        meets = np.tile(end, (len(self.langs), 1))
+        lang, lane = np.nonzero(np.tile(stop < end, (len(self.langs), 1)))
+        at, now = stop[lane].copy(), state[lang, lane]
+        while len(lane):
+            to, again, root = self._next(now[None, :], s[at].astype(np.int64)[None, :], self.roots[lang, 0][None, :])
+            to, again = to[0], again[0]
+            fresh = (now == root[0]) | (to == 0)
+            met = fresh & starts[lang, at]
+            meets[lang[met], lane[met]] = at[met]
+            beyond[lang, lane] += fresh & ~met  # each (language, lane) stands here once
+            now = np.where(to > 0, to, np.where(again > 0, again, root[0]))
+            at += 1
+            left = ~met & (at < end[lane])
+            lang, lane, at, now = lang[left], lane[left], at[left], now[left]
+        return beyond, meets
+
+    def _next(self, state, c, root) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Next states (0 for none) from ``state`` and from the root by symbols ``c``."""
+        rare = np.flatnonzero(c[0] >= self.width) if len(self.rare_keys) else ()
+        dense = np.where(c < self.width, c, OTHER) if len(rare) else c
+        to, again = self.table[state * self.width + dense], self.table[root * self.width + dense]
+        if len(rare):
+            to[:, rare] = self._rare(state[:, rare], c[:, rare])
+            again[:, rare] = self._rare(np.broadcast_to(root, state.shape)[:, rare], c[:, rare])
+        return to, again, root
+
     def _rare(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Next states (0 for none) by symbols beyond the dense table."""
         key = state * self.n_symbols + c
         at = np.minimum(np.searchsorted(self.rare_keys, key), len(self.rare_keys) - 1)
         return np.where(self.rare_keys[at] == key, self.rare_next[at], 0)
 
-    def _walk(self, s, start, size, doc, n_texts) -> np.ndarray:
+    def _walk(self, s, start, size, starts) -> np.ndarray:
+        """Parse lanes (longest first) from the root each; marks where phrases start, returns the states they end in."""
         n, longest = len(size), int(size[0]) if len(size) else 0
         where = np.minimum(start[:, None] + np.arange(longest), len(s) - 1)
         columns = np.ascontiguousarray(s[where].T)
         del where
         active = np.searchsorted(-size, -np.arange(longest), side="left")  # lanes longer than each step
         state = np.repeat(self.roots, n, axis=1)
-        count = np.zeros((len(self.langs), n), np.int64)
-        width, table, root_row = self.width, self.table, self.roots * self.width
         for t in range(longest):
             m = active[t]
-            c = columns[t, :m].astype(np.int64)
-            rare = np.flatnonzero(c >= width) if len(self.rare_keys) else ()
-            dense = np.where(c < width, c, OTHER) if len(rare) else c
-            to = table[state[:, :m] * width + dense]
-            again = table[root_row + dense]
-            if len(rare):
-                to[:, rare] = self._rare(state[:, rare], c[rare])
-                again[:, rare] = self._rare(self.roots, c[rare])
-            miss = to == 0
-            strange = again == 0  # a symbol the language lacks is a phrase of its own
-            count[:, :m] += miss & (state[:, :m] != self.roots)
-            count[:, :m] += miss & strange
-            state[:, :m] = np.where(miss, np.where(strange, self.roots, again), to)
-        count += state != self.roots  # the phrase a lane ends in
-        return np.stack([np.bincount(doc, weights=row, minlength=n_texts) for row in count]).astype(np.int64)
+            to, again, _ = self._next(state[:, :m], columns[t, :m].astype(np.int64)[None, :], self.roots)
+            miss = to == 0  # a symbol the language lacks (``again`` 0) is a phrase of its own
+            starts[:, start[:m] + t] = miss | (state[:, :m] == self.roots)
+            state[:, :m] = np.where(miss, np.where(again == 0, self.roots, again), to)
+        return state
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if not self.langs:
@@ -222,13 +266,13 @@ def _parser(text_of: dict[str, str]) -> CrossParser:
 
 def predict(docs: DataFrame, text_of: dict[str, str]) -> DataFrame:
     """(doc_id, lang_pred, score) of every text by the given training text."""
+    ship_package(docs.sparkSession)
     frame = docs.select("doc_id", F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parser = _parser(text_of)
-            for at in range(0, b.num_rows, 1500):
-                part = b.slice(at, 1500)
+            for part in byte_slices(b, 1, parser.slice_bytes):
                 langs, score = parser.predict(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(score, pa.float64())],
                                                  ["doc_id", "lang_pred", "score"])
@@ -238,13 +282,13 @@ def predict(docs: DataFrame, text_of: dict[str, str]) -> DataFrame:
 
 def keep_identified(docs: DataFrame, text_of: dict[str, str], min_score: float = 0.0) -> DataFrame:
     """The rows of ``docs`` (all columns) whose language is known with at least ``min_score``."""
+    ship_package(docs.sparkSession)
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parser = _parser(text_of)
-            for at in range(0, b.num_rows, 1500):
-                part = b.slice(at, 1500)
+            for part in byte_slices(b, place, parser.slice_bytes):
                 langs, score = parser.predict(part.column(place).cast(pa.string()).to_pylist())
                 yield part.filter(pa.array([x != "und" and y >= min_score for x, y in zip(langs, score)]))
 

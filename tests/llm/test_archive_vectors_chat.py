@@ -12,7 +12,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from loanweave.llm import chat, hnsw, packing, queries, warc
+from loanweave.llm import chat, common, hnsw, packing, queries, warc
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -201,3 +201,56 @@ def test_pipeline_stages(spark):
     assert sum(r.length for r in pieces) == sum({r.doc_id: r.doc_tokens for r in pieces}.values())
     assert all(r.length == len(r.ids) and r.offset + r.length <= packing.WINDOW for r in pieces)
     assert toxicity.THRESHOLD == 0.3 and pii.KINDS[0] == "email"
+
+
+# ---- hot keys ------------------------------------------------------------------------
+
+@pytest.fixture
+def small_skew(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "16k",
+            "spark.sql.files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hub_of_half_the_links_is_split(spark, small_skew, monkeypatch):
+    links = [(0, i) for i in range(1, 6000)] + [(10000 + i, 10001 + i) for i in range(0, 3000, 2)]
+    plans = {}
+
+    def recording(df, label):
+        df.collect()
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    stage = common.stage
+    monkeypatch.setattr(common, "stage", recording)
+    got = {r.node: r.component_id for r in common.connected_components(spark.createDataFrame(links, "a long, b long").repartition(8)).collect()}
+    assert all(got[i] == 0 for i in range(6000)) and got[10001] == got[10000] == 10000
+    assert "skew=true" in plans["cc_large"]
+
+
+def test_hot_digest_is_split(spark, small_skew, monkeypatch, tmp_path):
+    rows = [(i, f"http://h/{i}", "same page" if i < 6000 else f"page {i}") for i in range(9000)]
+    plans = []
+
+    def recording(*args, **kw):
+        df = join(*args, **kw)
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    join = warc.join_aggregate
+    monkeypatch.setattr(warc, "join_aggregate", recording)
+    path = str(tmp_path / "arc")
+    frame = str(tmp_path / "pages")
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(12).write.parquet(frame)
+    warc.write_archive(spark.read.parquet(frame), path)
+    assert "skew=true" in plans[0]
+    kinds = warc.read_archive(spark, path).groupBy("record_type").count().collect()
+    assert {r["record_type"]: r["count"] for r in kinds} == {"response": 3001, "revisit": 5999}

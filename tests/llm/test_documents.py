@@ -224,6 +224,26 @@ def test_cross_parsing_counts_longest_matches():
             assert int(counts[k, 0]) == phrases_by_hand(text + " ", train[lang] + " ")
 
 
+@pytest.mark.parametrize("lane", [1, 7, 64, 1024])
+def test_long_texts_count_like_one_parse(lane):
+    rnd = random.Random(lane)
+    words = {lang: ["".join(rnd.choices(lang * 3 + "xyz", k=rnd.randrange(2, 9))) for _ in range(60)] for lang in ("abc", "bcd")}
+    train = {lang: " ".join(rnd.choices(w, k=150)) for lang, w in words.items()}
+    texts = [" ".join(rnd.choices(words[lang] + ["q", "aaaa"], k=n)) for lang in words for n in (3, 200, 1100)]
+    texts += ["x" * 3000, train["abc"][:700] * 3, "", "abc" * 900 + " " + "zzq" * 400]
+    p = langid.CrossParser(train, lane=lane)
+    counts, sizes = p.phrases([t + " " if t else t for t in texts])
+    assert max(sizes) > 5000
+    for k, lang in enumerate(p.langs):
+        assert counts[k].tolist() == [phrases_by_hand(t + " ", train[lang] + " ") if t else 0 for t in texts]
+
+
+def test_training_runs_start_anywhere_in_a_text(spark):
+    rows = [(i, "".join(chr(97 + k % 26) for k in range(5000)), "en") for i in range(60)]
+    text = langid.training_text(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 40, 100)["en"].split(" ")
+    assert {len(t) for t in text} == {100} and len({t[0] for t in text}) > 5
+
+
 def test_cross_parsing_knows_every_letter_of_large_alphabets(spark):
     rnd = random.Random(3)
     signs = [chr(0x4E00 + i) for i in range(500)]
@@ -287,6 +307,40 @@ def test_grammar_weighs_context():
     assert m.score("idiot " + "fine " * 500) < m.score("fine")  # far fewer than a toxic text would have
 
 
+def clause_by_hand(clause, stems):
+    """A clause's weight by the rules, read word by word with all words in view."""
+    words = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", clause)
+    kind = {w: k for k, ws in (("target", toxicity.TARGETS), ("negation", toxicity.NEGATIONS), ("report", toxicity.REPORTS),
+                               ("threat", toxicity.THREATS)) for w in ws}
+    targeted = any(kind.get(w) == "target" for w in words)
+    total, found, reported, covered = 0.0, False, False, 0
+    for w in words:
+        k = kind.get(w)
+        own = None if k else next((stems[w[:n]] for n in (4, 5, 6) if len(w) >= n and w[:n] in stems), None)
+        if k == "threat" or own is not None:
+            found = True
+            total += (toxicity.THREAT if targeted else toxicity.UNTARGETED_THREAT) if k == "threat" else own + toxicity.TARGETED * targeted
+            total += toxicity.NEGATED * (covered > 0) + toxicity.REPORTED * reported
+        reported = reported or k == "report"
+        covered = toxicity.NEGATION_REACH if k == "negation" else max(0, covered - 1)
+    return total if found else None
+
+
+def test_composed_machine_equals_plain_reading_of_whole_clauses():
+    rnd = random.Random(12)
+    stems = {"idio": 1.25, "morons": 0.5, "stupi": 2.0}
+    scorer = toxicity.ClauseScorer(toxicity.Model(stems, -2.0, 0.0))
+    vocabulary = ["idiot", "idiots", "moronsies", "stupid", "periodio", "kill", "destroy", "killer", "you", "they", "not", "never", "said",
+                  "wrote", "fine", "table", "it's", "Idiot", "a1idiot", "töten"] + [f"word{c}" for c in "abcdefgh"] * 4
+    for size in (5, 40, 900):  # the last: clauses of thousands of characters without a mark
+        for _ in range(30):
+            text = "".join(rnd.choice(vocabulary) + rnd.choice([" "] * (size // 2) + [", ", ". ", "\n", "!"]) for _ in range(size))
+            want = [w for c in re.split(r"[.,;:!?\n]", text.lower()) if (w := clause_by_hand(c, stems)) is not None]
+            got = [w for w in scorer.clauses(text)]
+            # a clause is only looked at if the finder meets a stem or threat in it, as every weighing word is one
+            assert got == pytest.approx(want), text[:200]
+
+
 def test_toxicity_edges(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (None, "idiot"), (4, "fine " * 20000 + "idiot " * 2000)], "doc_id long, text string")
     model = toxicity.Model({"idio": 6.0}, -2.0, 0.02)
