@@ -1,25 +1,29 @@
 """Mixture-controlled packing: deficit round-robin over one token queue per source.
 
 Each source's documents form a queue of tokens (ids plus one end id per
-document).  In every round a source may send its quantum, ``window * weight``
-tokens; what a whole number of tokens leaves over is its deficit and is
-carried to the next round.  Rounds follow one another without a gap and every
-``window`` tokens make a sequence, so only the last sequence has padding, each
-window holds every backlogged source at its target share (to within rounding),
-and a source that runs dry simply leaves the rotation.
-
-Scale: quanta are fixed-point numbers, so the tokens a source has sent after k
-rounds are ``min(total, floor(k * quantum))`` and every token's place follows
-from its position in its queue alone.  Deficits thus carry across windows and
-partitions without any state being handed on.  One pass encodes and stages the
-ids once (16 or 32 bits each); queue positions come from a running sum over
-(source, partition) totals, and the join back to the staged ids carries one
-small row per (source, partition).  Only one total per source, the mixture
-table itself, reaches the driver.
+document), cut into packets: whole short documents and stretches of ``PACKET``
+tokens of longer ones.  In every round a source gains its quantum, ``window *
+weight`` tokens, and sends the packets that its deficit covers; what is left is
+carried to the next round.  So at the end of every round a backlogged source has
+sent at most its target and lacks less than one packet of it.  Rounds follow one another
+without a gap and every ``window`` tokens make a sequence, so only the last
+sequence has padding; a source that runs dry simply leaves the rotation.
+
+Scale: quanta are fixed-point numbers, so the round that sends a packet follows
+from its end in its queue alone, and deficits carry across windows and partitions
+without any state being handed on.  One pass encodes and stages the ids once
+(16 or 32 bits each); queue positions come from a running sum over (source,
+partition) totals.  A round sends about one window of tokens whatever the
+sources, so ``CHUNK_ROUNDS`` rounds make a chunk of bounded size: packets are
+shuffled to their chunks once, ids included, and take their places by a running sum
+there; the chunks' own places are sums of totals in two levels.  Cost is linear in
+tokens and does not depend on the number of sources.  Only one total per source,
+the mixture table itself, reaches the driver.
 
 Defined results: a null or empty text is a document of the end id alone; a
 null source is a queue of its own; repeated rows are packed each; other
-columns of the input are not read; an empty table gives no pieces.
+columns of the input are not read; an empty table gives no pieces; very long
+texts are cut like others.
 """
 
 from __future__ import annotations
@@ -41,6 +45,10 @@ from loanweave.llm.common import stage, ship_package
 DEFAULT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 1024
 END_ID = 0
+#: Tokens of a packet; a shorter document is one.
+PACKET = 256
+#: Rounds of a chunk: about this many windows of tokens.
+CHUNK_ROUNDS = 2048
 #: Fixed-point bits of a quantum.
 BITS = 16
 
@@ -134,52 +142,34 @@ class Mixture:
         scale = sum(want) or 1.0
         self.quantum = np.array([max(1, round(window * w / scale * (1 << BITS))) for w in want], np.int64)
 
-    def sent(self, rounds: np.ndarray) -> np.ndarray:
-        """(queue, round) -> tokens sent by the end of the round."""
-        return np.minimum(self.quantum[:, None] * rounds[None, :] >> BITS, self.total[:, None])
-
-    def round_of(self, k: int, position: np.ndarray) -> np.ndarray:
-        """The round in which queue ``k`` sends its token ``position``."""
-        return -((-(position + 1) << BITS) // self.quantum[k])
-
-    def pieces(self, source, first: int, n: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-        """Stream positions and lengths of the pieces of ``n`` tokens from ``first`` on."""
-        k = self.row[source]
-        a, b = self.round_of(k, np.array([first, first + n - 1], np.int64)).tolist()
-        place, size = [], []
-        for lo in range(a, b + 1, 1 << 16):
-            rounds = np.arange(lo - 1, min(b, lo + (1 << 16) - 1) + 1, dtype=np.int64)
-            sent = self.sent(rounds)
-            begin = sent[:, :-1].sum(axis=0) + (sent[:k, 1:] - sent[:k, :-1]).sum(axis=0)
-            lo_tok = np.maximum(sent[k, :-1], first)
-            hi_tok = np.minimum(sent[k, 1:], first + n)
-            some = hi_tok > lo_tok
-            place.append((begin + lo_tok - sent[k, :-1])[some])
-            size.append((hi_tok - lo_tok)[some])
-        place, size = np.concatenate(place), np.concatenate(size)
-        # Runs that follow one another are one piece; then cut at windows.
-        new = np.concatenate(([True], place[1:] != place[:-1] + size[:-1]))
-        starts = place[new]
-        sizes = np.add.reduceat(size, np.flatnonzero(new))
-        cuts = (starts + sizes - 1) // window - starts // window
-        if cuts.any():
-            rep = np.repeat(np.arange(len(starts)), cuts + 1)
-            step = np.arange(len(rep)) - np.repeat(np.cumsum(cuts + 1) - cuts - 1, cuts + 1)
-            lo = np.maximum(starts[rep], (starts[rep] // window + step) * window)
-            hi = np.minimum(starts[rep] + sizes[rep], (starts[rep] // window + step + 1) * window)
-            return lo, hi - lo
-        return starts, sizes
+    def round_of(self, queue: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The round whose deficit first covers a queue's tokens up to ``end``."""
+        return -((-end << BITS) // self.quantum[queue])
+
+
+def runs(mix: Mixture, queue: np.ndarray, first: np.ndarray, n: np.ndarray, packet: int) -> tuple:
+    """(document, start, length, round) of the packets of documents with ``n`` tokens from queue
+    position ``first`` on; packets of a document that one round sends are one run."""
+    packets = -(-n // packet)
+    doc = np.repeat(np.arange(len(n)), packets)
+    start = (np.arange(len(doc)) - np.repeat(np.cumsum(packets) - packets, packets)) * packet
+    end = np.minimum(start + packet, n[doc])
+    turn = mix.round_of(queue[doc], first[doc] + end)
+    new = np.flatnonzero(np.concatenate(([True], (turn[1:] != turn[:-1]) | (doc[1:] != doc[:-1]))))
+    last = np.append(new[1:], len(doc)) - 1
+    return doc[new], start[new], end[last] - start[new], turn[new]
 
 
 def pack(docs: DataFrame, window: int = WINDOW, weights: dict[str, float] | None = None,
          tokenizer_path: str = DEFAULT_TOKENIZER, end_id: int = END_ID,
-         with_ids: bool = True) -> DataFrame:
+         with_ids: bool = True, packet: int = PACKET) -> DataFrame:
     """Pieces of all documents: (doc_id, start, length, doc_tokens,
     sequence_id, offset, ids_crc32[, ids]).
 
     ``weights``: target share per source; by default each source's share of
-    all tokens, so that all queues end together.  ``ids_crc32`` is over
-    little-endian 32-bit ids; ``ids`` are those of the piece.
+    all tokens, so that all queues end together.  ``packet``: most tokens that stay
+    together; smaller ones hold the shares more tightly, in more pieces.
+    ``ids_crc32`` is over little-endian 32-bit ids; ``ids`` are those of the piece.
     """
     ship_package(docs.sparkSession)
     id_type = docs.select("doc_id").schema[0].dataType.simpleString()
@@ -193,36 +183,77 @@ def pack(docs: DataFrame, window: int = WINDOW, weights: dict[str, float] | None
     if not totals:
         return docs.sparkSession.createDataFrame([], _schema(id_type, with_ids))
     mix = Mixture(totals, weights, window)
-    placed = queues.join(base, F.col("source").eqNullSafe(F.col("q_source")) & (F.col("part") == F.col("q_part")))
+
+    def placed(*more: str) -> DataFrame:
+        j = queues.join(base, F.col("source").eqNullSafe(F.col("q_source")) & (F.col("part") == F.col("q_part")))
+        return j.select("source", (F.col("base") + F.col("before")).alias("first"), "n", *more)
+
+    def cut_runs(b: pa.RecordBatch) -> tuple:
+        queue = np.array([mix.row[x] for x in b.column(0).to_pylist()], np.int64)
+        first = b.column(1).to_numpy()
+        return queue, first, *runs(mix, queue, first, b.column(2).to_numpy(), packet)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                _, _, _, _, length, turn = cut_runs(b)
+                chunk, which = np.unique(turn // CHUNK_ROUNDS, return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(chunk), pa.array(np.bincount(which, weights=length).astype(np.int64))], ["chunk", "tokens"])
+
+    per_chunk = placed().mapInArrow(count, "chunk bigint, tokens bigint").groupBy("chunk").agg(F.sum("tokens").alias("tokens"))
+    per_chunk = stage(per_chunk.withColumn("high", F.floor(F.col("chunk") / CHUNK_ROUNDS)), "queue_chunks")
+    earlier = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, -1)  # one row per CHUNK_ROUNDS chunks
+    high = per_chunk.groupBy(F.col("high").alias("h")).agg(F.sum("tokens").alias("t")).select(
+        "h", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("high_base"))
+    inside = Window.partitionBy("high").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunk_base = stage(per_chunk.withColumn("own", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(
+        high, F.col("high") == F.col("h")).select(F.col("chunk").alias("c"), (F.col("high_base") + F.col("own")).alias("c_base")), "queue_chunk_base")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                queue, first, doc, start, length, turn = cut_runs(part)
+                width = part.column(4).to_numpy()[doc]
+                raw = part.column(5).to_pylist()
+                ids = [raw[d][s:e] for d, s, e in zip(doc.tolist(), (start * width).tolist(), ((start + length) * width).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(turn // CHUNK_ROUNDS), pa.array(turn), pa.array(queue[doc]), pa.array(first[doc] + start),
+                     part.column(3).take(pa.array(doc)), pa.array(start), pa.array(length), part.column(2).take(pa.array(doc)),
+                     pa.array(width.astype(np.int32)), pa.array(ids, pa.binary())],
+                    ["chunk", "round", "queue", "position", "doc_id", "start", "length", "doc_tokens", "width", "ids"])
+
+    sent = placed("doc_id", "width", "ids").mapInArrow(send, (
+        f"chunk bigint, round bigint, queue bigint, position bigint, doc_id {id_type}, start bigint, length bigint, "
+        "doc_tokens bigint, width int, ids binary"))
+    line = Window.partitionBy("chunk").orderBy("round", "queue", "position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = sent.withColumn("upto", F.sum("length").over(line)).join(chunk_base, F.col("chunk") == F.col("c"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                piece = b.slice(at, 500)
-                which, start, length, place, crc, ids = [], [], [], [], [], []
-                rows = zip(*(piece.column(i).to_pylist() for i in range(1, 6)))
-                for k, (source, first, n, width, raw) in enumerate(rows):
-                    tokens = np.frombuffer(raw, f"<u{width}").astype("<u4")
-                    pos, size = mix.pieces(source, first, n, window)
-                    begin = np.cumsum(size) - size
-                    view = memoryview(tokens)
-                    for s, z in zip(begin.tolist(), size.tolist()):
-                        crc.append(zlib.crc32(view[s:s + z]))
-                        if with_ids:
-                            ids.append(tokens[s:s + z].astype(np.int32))
-                    which.append(np.full(len(pos), k))
-                    start.append(begin)
-                    length.append(size)
-                    place.append(pos)
-                which, place = np.concatenate(which), np.concatenate(place)
-                cols = [piece.column(0).take(pa.array(which)), pa.array(np.concatenate(start)),
-                        pa.array(np.concatenate(length)), piece.column(3).take(pa.array(which)),
-                        pa.array(place // window), pa.array(place % window), pa.array(crc, pa.int64())]
+            for at in range(0, b.num_rows, 4000):
+                part = b.slice(at, 4000)
+                place, length, start = (part.column(i).to_numpy() for i in (2, 3, 1))
+                pieces = (place + length - 1) // window - place // window + 1  # a run is cut where a window ends
+                which = np.repeat(np.arange(len(place)), pieces)
+                step = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                lo = np.maximum(place[which], (place[which] // window + step) * window)
+                hi = np.minimum(place[which] + length[which], (place[which] // window + step + 1) * window)
+                begin = lo - place[which]
+                raw, width = part.column(6).to_pylist(), part.column(5).to_pylist()
+                crc, ids = [], []
+                for k, s, z in zip(which.tolist(), begin.tolist(), (hi - lo).tolist()):
+                    tokens = np.frombuffer(raw[k], f"<u{width[k]}", z, s * width[k]).astype("<u4")
+                    crc.append(zlib.crc32(tokens))
+                    if with_ids:
+                        ids.append(tokens.astype(np.int32))
+                cols = [part.column(0).take(pa.array(which)), pa.array(start[which] + begin), pa.array(hi - lo),
+                        part.column(4).take(pa.array(which)), pa.array(lo // window), pa.array(lo % window), pa.array(crc, pa.int64())]
                 if with_ids:
                     cols.append(pa.array(ids, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, _names(with_ids))
 
-    frame = placed.select("doc_id", "source", (F.col("base") + F.col("before")).alias("first"), "n", "width", "ids")
+    frame = ordered.select("doc_id", "start", (F.col("c_base") + F.col("upto") - F.col("length")).alias("place"), "length", "doc_tokens", "width", "ids")
     return frame.mapInArrow(cut, _schema(id_type, with_ids))
 
 

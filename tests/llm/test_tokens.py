@@ -110,13 +110,46 @@ def test_packing_keeps_target_shares(spark):
     docs = {k: ("word " * (5 + 13 * k % 400), "ab"[k % 3 == 0]) for k in range(300)}
     df = spark.createDataFrame([(k, t, s) for k, (t, s) in docs.items()],
                                "doc_id long, text string, source string").repartition(5)
-    rows = packing.pack(df, window=256, weights={"a": 3, "b": 1}).collect()
+    rows = packing.pack(df, window=256, weights={"a": 3, "b": 1}, packet=1).collect()
     seqs = check_packing(rows, docs, 256)
     share = [sum(r.length for r in p if docs[r.doc_id][1] == "b") / 256 for p in seqs.values()]
     both = [s for s in share[:-1] if 0 < s < 1]
     assert len(both) > 40 and all(abs(s - 0.25) < 0.03 for s in share[:len(both) // 2])
 
 
+def test_deficits_stay_under_a_packet_and_pieces_are_long(spark):
+    """At every place of the stream a backlogged source has its share to within a packet of
+    each source; pieces are packets cut at most once by a window's end."""
+    sources = {"a": 0.5, "b": 0.3, "c": 0.15, "d": 0.05}
+    docs = {k: ("word " * (20 + 37 * k % 900), "abcd"[k % 4]) for k in range(800)}
+    df = spark.createDataFrame([(k, t, s) for k, (t, s) in docs.items()],
+                               "doc_id long, text string, source string").repartition(7)
+    rows = packing.pack(df, weights=sources).collect()
+    check_packing(rows, docs)
+    assert sum(r.length for r in rows) / len(rows) > 140  # of packets of at most 256 and whole shorter documents
+    assert all(r.length <= packing.PACKET * 8 for r in rows)
+    stream = sorted((r.sequence_id * 1024 + r.offset, r.length, docs[r.doc_id][1]) for r in rows)
+    total = collections.Counter()
+    for _, n, s in stream:
+        total[s] += n
+    sent, dry = collections.Counter(), set()
+    for at, n, s in stream:
+        sent[s] += n
+        dry |= {x for x in sources if sent[x] == total[x]}
+        if dry:
+            break  # from here on the others share the window
+        for x, w in sources.items():
+            assert abs(sent[x] - w * (at + n)) <= 2 * 1024 * w + packing.PACKET * (1 + len(sources) * w)
+
+
+def test_many_sources_cost_and_cut_no_more(spark):
+    docs = {k: ("token " * (40 + k % 300), f"s{k % 700}") for k in range(2100)}
+    df = spark.createDataFrame([(k, t, s) for k, (t, s) in docs.items()], "doc_id long, text string, source string").repartition(3)
+    rows = packing.pack(df, with_ids=False).collect()
+    check_packing(rows, docs)
+    assert len(rows) < 2 * len(docs)  # a document is a packet or two, a window's end cuts one of them
+
+
 def test_packing_edges(spark):
     docs = {1: (None, None), 2: ("", "x"), 3: ("y" * 5000, None), 4: ("<|endoftext|> a", "x")}
     df = spark.createDataFrame([(k, t, s, 7, 8) for k, (t, s) in docs.items()],
