@@ -6,6 +6,7 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -388,3 +389,58 @@ def test_quality_edges(spark):
     assert got[3].n_repeat_words == 15 and got[3].base_failed
     assert got[5].n_words == 13 and not got[5].base_failed
     assert quality.score_quality(df.where("false")).count() == 0
+
+
+def plain_mcd(x, starts=60, seed=1):
+    """Least determinant over random starts with concentration steps run to their end."""
+    rnd = np.random.default_rng(seed)
+    best = None
+    for _ in range(starts):
+        keep = rnd.choice(len(x), len(quality.FEATURES) + 1, replace=False)
+        for _ in range(60):
+            mu = x[keep].mean(0)
+            cov = quality._floored(np.cov(x[keep].T, bias=True) * quality.SUBSET_SPREAD)
+            d = x - mu
+            d2 = np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
+            new = np.flatnonzero(d2 <= np.quantile(d2, quality.SUBSET, method="lower"))
+            if len(new) == len(keep) and (new == np.sort(keep)).all():
+                break
+            keep = new
+        if best is None or np.linalg.slogdet(cov)[1] < best[0]:
+            best = np.linalg.slogdet(cov)[1], d2
+    return best
+
+
+def test_mcd_finds_the_least_determinant_of_a_plain_search(spark):
+    rnd = np.random.default_rng(6)
+    p = len(quality.FEATURES)
+    rows, data = [], {}
+    for g, share in (("a", 0.0), ("b", 0.2)):
+        mix = rnd.normal(size=(p, p))
+        x = rnd.normal(size=(700, p)) @ mix + 5
+        bad = rnd.random(700) < share
+        x[bad] = x[bad] * 0.1 + 14 * np.sign(mix[0])
+        data[g] = x, bad
+        rows += [(g, *map(float, r)) for r in x]
+    frame = spark.createDataFrame(rows, "grp string, " + ", ".join(f"{f} double" for f in quality.FEATURES))
+    got = {r["grp"]: r for r in quality.fit_mcd(frame).collect()}
+    for g, (x, bad) in data.items():
+        log_det, d2 = plain_mcd(x)
+        assert got[g]["log_det"] <= log_det + 0.05
+        d = x - np.array(got[g]["mean"])
+        ours = np.einsum("ij,jk,ik->i", d, np.array(got[g]["inverse"]).reshape(p, p), d)
+        scale = max((700 * np.median(d2) / quality.CHI2_MEDIAN + quality.PRIOR_ROWS) / (700 + quality.PRIOR_ROWS), 0.5)
+        assert ((ours <= quality.CUTOFF) == (d2 / scale <= quality.CUTOFF)).mean() >= 0.995
+        assert (ours[bad] > quality.CUTOFF).mean() >= 0.95 if bad.any() else (ours <= quality.CUTOFF).mean() >= 0.99
+
+
+def test_small_groups_lean_on_the_estimate_above(spark):
+    rnd = np.random.default_rng(2)
+    p = len(quality.FEATURES)
+    cols = "grp string, " + ", ".join(f"{f} double" for f in quality.FEATURES)
+    lang = spark.createDataFrame([("en", *map(float, rnd.normal(size=p))) for _ in range(500)], cols)
+    above = quality.fit_mcd(lang).select(quality.F.lit("one").alias("grp"), quality.F.col("mean").alias("t_mean"), quality.F.col("cov").alias("t_cov"))
+    one = quality.fit_mcd(spark.createDataFrame([("one", *[9.0] * p)], cols), above).first()
+    assert one["n"] == 1 and all(m < 0.6 for m in one["mean"])  # a lone row moves it by 1 / (1 + PRIOR_ROWS)
+    d = 9.0 - np.array(one["mean"])
+    assert d @ np.array(one["inverse"]).reshape(p, p) @ d > quality.CUTOFF
