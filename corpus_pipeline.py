@@ -34,14 +34,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the smallest doc_id stays, of rows that repeat a
-    doc_id the first by hash of the text; rows without a doc_id stay."""
+    """Of each group of near-duplicates the row with the smallest doc_id stays, and of rows
+    that agree in doc_id and text one.  Rows that share a doc_id but not the text are
+    documents of their own; rows without a doc_id stay."""
     ship_package(spark)
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    row = f"row_{uuid.uuid4().hex}"  # no column of the input has this name
-    single = named.withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).select(*docs.columns)
+    tag = uuid.uuid4().hex  # no column of the input has such a name
+    node, text_hash = f"node_{tag}", f"hash_{tag}"
+    named = docs.where("doc_id is not null").withColumn(text_hash, F.xxhash64("text"))
+    several = stage(named.groupBy(F.col("doc_id").alias(f"id_{tag}")).agg(F.min(text_hash).alias(f"first_{tag}"), F.max(text_hash).alias("top"))
+                    .where(F.col(f"first_{tag}") != F.col("top")).drop("top"), "pipeline_shared_ids")
+    if several.limit(1).count():
+        # Such a doc_id names the text first in hash order; the others get numbers beyond all ids.
+        other = F.lit(1 << 62) + F.col(text_hash).bitwiseAND(F.lit((1 << 61) - 1))
+        named = named.join(several, F.col("doc_id") == F.col(f"id_{tag}"), "left").withColumn(
+            node, F.when(F.col(text_hash) != F.col(f"first_{tag}"), other).otherwise(F.col("doc_id")))
+    else:
+        named = named.withColumn(node, F.col("doc_id"))
+    kept = minhash.near_duplicates(named.select(F.col(node).alias("doc_id"), "text")).where("kept").select(
+        F.col("doc_id").alias(f"kept_{tag}")).distinct()
+    line = Window.partitionBy(node, text_hash).orderBy(F.lit(0))
+    single = (named.join(kept, F.col(node) == F.col(f"kept_{tag}"), "left_semi")
+              .withColumn(f"row_{tag}", F.row_number().over(line)).where(F.col(f"row_{tag}") == 1).select(*docs.columns))
     return single.unionByName(docs.where("doc_id is null"))
 
 
