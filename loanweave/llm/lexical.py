@@ -12,7 +12,7 @@ bound is below the k-th best score found; documents of opened blocks are scored
 in full.  Nothing else is ever skipped, so the ranks are those of a scan.
 
 Scale: texts are read once and reduced to the terms of the items (one staged row
-per document); corpus counts are two sums that combine before the shuffle.  Each
+per document, dealt evenly over tasks); corpus counts are two sums that combine before the shuffle.  Each
 task cuts its documents into shards bounded by rows and postings, searches all
 items in one shard after the other and carries its best scores along, which
 prune the later shards; it sends k rows per item.  A term that all documents hold is a list of
@@ -46,6 +46,8 @@ BLOCK_DOCS = 32
 #: Most rows and postings of a shard.
 SHARD_DOCS = 8192
 SHARD_POSTINGS = 1 << 21
+#: Documents that a task searches, on average: best scores prune best when carried far, but tasks must stay short.
+TASK_DOCS = 16384
 #: Most (item, term) pairs of a block of items.
 ITEM_PAIRS = 1 << 20
 SKETCH = 16
@@ -285,7 +287,8 @@ def _search_block(docs: DataFrame, pairs: list, top: int, block_docs: int, shard
                  pa.array([None if d == _NO_ID else int(d) for k in found for d in best[k][1]], pa.int64()),
                  pa.array(np.concatenate([best[k][0] for k in found]))], ["item", "doc_id", "score"])
 
-    best = index.where(F.size("terms") > 0).mapInArrow(run, "item string, doc_id bigint, score bigint")
+    dealt = index.where(F.size("terms") > 0).repartition(-(-n_docs // TASK_DOCS))  # long and short documents mixed
+    best = dealt.mapInArrow(run, "item string, doc_id bigint, score bigint")
     line = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     out = stage(best.withColumn("rank", F.row_number().over(line)).where(F.col("rank") <= top), "lexical_best")
     drop_staged(index)
