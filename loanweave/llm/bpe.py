@@ -11,7 +11,9 @@ Nothing is shuffled, and memory holds one block plus a bounded piece table.
 
 Defined results: a null or empty text has no ids and decodes to nothing;
 special-token strings are ordinary text; every row gives one row, repeated
-rows repeated rows; other columns of the input are not read.
+rows repeated rows; other columns of the input are not read; an empty table gives
+no rows; a very long text is encoded whole, and its distinct pieces must fit a
+task.  Equal ranks cannot tie: a rank names one pair of bytes.
 """
 
 from __future__ import annotations

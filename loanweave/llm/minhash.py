@@ -28,7 +28,8 @@ in the shared folder.
 Defined results: a null or empty text has no shingles and is linked with
 nothing; fewer words than a shingle make one shingle; rows that share a doc_id
 are one node and each gives a row; a null doc_id is linked with nothing and
-kept; other columns of the input are not read.
+kept; other columns of the input are not read; an empty table gives no rows;
+very long texts are shingled and verified whole.
 """
 
 from __future__ import annotations
@@ -49,6 +50,10 @@ from loanweave.session import scratch_path
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 32, 5
+#: Text of a bucket of the written documents, bytes taken for a word, and Spark's own limit on buckets.
+BUCKET_BYTES = 128 * 1024 * 1024
+WORD_BYTES = 8
+MOST_BUCKETS = 100_000
 HASHES = 288
 BATCH = 32
 MISS = 1e-7
@@ -159,11 +164,12 @@ def _sig_matrix(column: pa.Array) -> np.ndarray:
 class _Bucketed:
     """Documents in shared buckets, written once, bucketed by doc_id."""
 
-    def __init__(self, frame: DataFrame):
+    def __init__(self, frame: DataFrame, text_bytes: int):
+        """A bucket is for about BUCKET_BYTES of the ``text_bytes`` of all texts."""
         spark = frame.sparkSession
         self.spark, self.name = spark, f"llm_minhash_{uuid.uuid4().hex}"
         self.path = scratch_path(spark, "llm", self.name)
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes // BUCKET_BYTES)))
         (frame.write.format("parquet").option("compression", "zstd").option("path", self.path)
          .bucketBy(n, "doc_id").saveAsTable(self.name))
         self.schema = frame.schema
@@ -325,8 +331,10 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     hits = stage(members.join(shared, F.col("key") == F.col("k2")).select("key", "x", "pivot"), "minhash_hits")
     near = usable.select("doc_id", "n_shingles", "bands", "sig").join(
         hits.select(F.col("x").alias("doc_id")).distinct(), "doc_id")
+    # A distinct shingle begins at a word of its own, so this is about the bytes of all texts.
+    total_bytes = WORD_BYTES * (usable.agg(F.sum("n_shingles")).first()[0] or 0)
     texts = docs.select(F.col("doc_id").alias("d"), F.col("text").cast("string").alias("text"))
-    table = _Bucketed(near.join(texts, F.col("doc_id") == F.col("d")).drop("d"))
+    table = _Bucketed(near.join(texts, F.col("doc_id") == F.col("d")).drop("d"), total_bytes)
     stars = hits.where("x != pivot").select(F.col("pivot").alias("a"), F.col("x").alias("b")).distinct()
     links = _confirmed(stars, table, k, percent)
     still = _open_buckets(hits, links)
