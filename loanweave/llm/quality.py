@@ -199,10 +199,13 @@ def _floored(cov: np.ndarray) -> np.ndarray:
     return cov + np.diag(np.maximum(np.square(FLOOR) - np.diag(cov), 0) + 1e-9)
 
 
-def _distance():
+def _with_distance(df: DataFrame) -> DataFrame:
+    """``df`` with column ``d2``: the squared distance by ``mean`` and the symmetric ``inverse``.
+    The differences are columns of their own, so that each is taken once."""
     p = len(FEATURES)
-    d = [F.col(f) - F.col("mean")[i] for i, f in enumerate(FEATURES)]
-    return reduce(lambda a, b: a + b, [F.col("inverse")[i * p + j] * d[i] * d[j] for i in range(p) for j in range(p)])
+    gaps = df.withColumns({f"_gap{i}": F.col(f) - F.col("mean")[i] for i, f in enumerate(FEATURES)})
+    terms = [(1 if i == j else 2) * F.col("inverse")[i * p + j] * F.col(f"_gap{i}") * F.col(f"_gap{j}") for i in range(p) for j in range(i, p)]
+    return gaps.withColumn("d2", reduce(lambda a, b: a + b, terms)).drop(*[f"_gap{i}" for i in range(p)])
 
 
 def _moments() -> list:
@@ -234,7 +237,7 @@ def fit_mcd(rows: DataFrame, above: DataFrame | None = None) -> DataFrame:
         .groupBy("grp").agg(*_moments()).withColumn("start", F.lit(k)) for k in range(1, SUBSETS + 1)]
     est = stage(medians.unionByName(_estimates(reduce(DataFrame.unionByName, drawn).join(known, "grp"))), "mcd")
     for _ in range(MAX_STEPS):
-        at = rows.join(est.select("grp", "start", "mean", "inverse"), "grp").select("grp", "start", *FEATURES, _distance().alias("d2"))
+        at = _with_distance(rows.join(est.select("grp", "start", "mean", "inverse"), "grp")).select("grp", "start", *FEATURES, "d2")
         near = stage(at.groupBy("grp", "start").agg(F.percentile_approx("d2", SUBSET, 2000).alias("reach")), "mcd_reach")
         moments = at.join(near, ["grp", "start"]).where("d2 <= reach").groupBy("grp", "start").agg(*_moments())
         new = stage(_estimates(moments.join(known, "grp")), "mcd")
@@ -248,7 +251,8 @@ def fit_mcd(rows: DataFrame, above: DataFrame | None = None) -> DataFrame:
     best = est.groupBy("grp").agg(F.min_by(F.struct("n", "mean", "cov", "inverse", "log_det"), F.struct("log_det", "start")).alias("b")).select("grp", "b.*")
     best = stage(best, "mcd_best")
     # The median distance tells by how much the subset understates the spread.
-    middle = rows.join(best.select("grp", "mean", "inverse"), "grp").groupBy("grp").agg(F.percentile_approx(_distance(), 0.5, 2000).alias("d50"))
+    middle = _with_distance(rows.join(best.select("grp", "mean", "inverse"), "grp")).groupBy("grp").agg(
+        F.percentile_approx("d2", 0.5, 2000).alias("d50"))
     wide = best.join(middle, "grp").withColumn("by", F.greatest(
         (F.col("n") * F.col("d50") / CHI2_MEDIAN + PRIOR_ROWS) / (F.col("n") + PRIOR_ROWS), F.lit(0.5)))
     out = stage(wide.select("grp", "n", "mean", F.transform("cov", lambda v: v * F.col("by")).alias("cov"),
@@ -281,6 +285,6 @@ def score_quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     scored = counts.join(params, F.col("g3") == F.col("c3"), "left")
     for k, v in _features().items():
         scored = scored.withColumn(k, v)
-    d2 = F.when(~F.col("base_failed"), _distance())
-    return scored.select("doc_id", *COUNTS, "base_failed", d2.alias("distance"),
+    d2 = F.when(~F.col("base_failed"), F.col("d2"))
+    return _with_distance(scored).select("doc_id", *COUNTS, "base_failed", d2.alias("distance"),
                          (~F.col("base_failed") & (F.coalesce(d2, F.lit(0.0)) <= cutoff)).alias("kept"))
