@@ -23,6 +23,10 @@ from loanweave.session import plan_size_bytes
 from loanweave.sources import files
 
 BUCKET_BYTES = 128 * 1024 * 1024
+#: A layout is written in parts of about so many bytes of input files, and in so many at most,
+#: so that a caller who drops each job's shuffle files holds those of one part at a time.
+PART_BYTES = 128 * 1024 * 1024
+MOST_PARTS = 8
 #: A loan with more than this share of a bucket's rows is hot.
 HOT_SHARE = 0.25
 LAYOUT = "layout.json"
@@ -46,8 +50,11 @@ def write_layout(df: DataFrame, path: str, key: str = "loan_id", order: tuple[st
     calm = df.where(~F.coalesce(is_hot, F.lit(False)))
     name = _table(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (calm.repartition(n, key).write.option("path", f"{path}/calm").bucketBy(n, key)
-     .sortBy(key, *order).format("parquet").saveAsTable(name))
+    parts = min(MOST_PARTS, bucket_count(df, PART_BYTES))
+    for i in range(parts):
+        part = calm.where(F.pmod(F.xxhash64(key), F.lit(parts)) == i) if parts > 1 else calm
+        (part.repartition(n, key).write.mode("append").option("path", f"{path}/calm").option("compression", "zstd")
+         .bucketBy(n, key).sortBy(key, *order).format("parquet").saveAsTable(name))
     if hot:
         (df.where(is_hot).repartitionByRange(key, *order).sortWithinPartitions(key, *order)
          .write.parquet(f"{path}/hot"))
