@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanweave.operators.joins import join_aggregate
-from loanweave.session import app_scratch, drop_staged, stage
+from loanweave.session import app_scratch, drop_staged, shuffles_dropped, stage
 
 CRLF = "\r\n"
 #: RFC 4648 digits.
@@ -78,7 +78,11 @@ def record_header(page_id: Column, url: Column, n_bytes: Column, sha1: Column,
 def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 0, date: str = DEFAULT_DATE) -> None:
     """Write ``path/headers`` and ``path/payloads``.  Of equal payloads of at least
     ``min_revisit_bytes`` the largest page_id is the response, the others revisit it."""
-    full = _with_payload(pages)
+    with shuffles_dropped(pages.sparkSession):
+        _write_tables(_with_payload(pages), path, min_revisit_bytes, date)
+
+
+def _write_tables(full: DataFrame, path: str, min_revisit_bytes: int, date: str) -> None:
     ids = full.select("page_id", "url", F.sha2("payload", 256).alias("digest"),
                       F.octet_length("payload").cast("long").alias("n_bytes"), base32_sha1(F.col("payload")).alias("sha1"))
     keep = stage(ids.groupBy(F.col("digest").alias("k_digest")).agg(F.max("page_id").alias("k_page")), "warc_keep")
