@@ -4,7 +4,7 @@ Exact rules give the base spans (e-mail, IPv4, card, phone), which always stay.
 Beside them loose generators propose overlapping spans; a boosted-tree model
 scores each from its format and context, and thresholds calibrated per kind
 select the spans that are added.  The trees are fitted by Spark ML on the
-candidates that could be added in a bounded sample of documents: those beside
+candidates that could be added in all documents, equal ones counted once: those beside
 all base spans of their kind count as false; the true ones come from a second
 copy of each text, whose base spans are rewritten in loose forms where they
 stand.  So loose forms are taken to be about as frequent as exact ones.  The
@@ -17,7 +17,7 @@ very long texts; documents without a digit or an ``@`` are not searched.
 Defined results: a null or empty text has no spans and stays as it is;
 positions are code points, ends exclusive; spans are ordered by start, then
 kind as in ``KINDS``; repeated rows give repeated results; of a kind without a
-true candidate in the sample nothing is added, of one without a false candidate
+true candidate nothing is added, of one without a false candidate
 every candidate is; an empty table gives no rows; very long texts are searched
 whole; overlapping candidates of one kind each stand for themselves.  The other columns of
 the input stay, but for those that have the names of the two results.
@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from loanweave.llm.common import stage
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents whose candidates the trees are fitted and calibrated on (in expectation).
-MAX_FIT_DOCS = 20_000
+#: Share of the documents, by their hashed text, whose candidates the trees are fitted on; those of the others calibrate.
+FIT_SHARE = 2 / 3
 #: Share of weakly labelled candidates above a threshold that must be true.
 MIN_PRECISION = 0.99
 CONTEXT = 24
@@ -234,19 +234,15 @@ def _parse_trees(said: str) -> list[tuple[float, object]]:
     return [(float(m[1]), node(at + 1)[0]) for at, x in enumerate(lines) if (m := re.match(r"Tree \d+ \(weight (\S+)\):", x))]
 
 
-def fit(docs: DataFrame, max_docs: int = MAX_FIT_DOCS) -> Model:
-    """Fit and calibrate on the candidates of documents whose hashed text falls under a share."""
-    n = docs.count()
-    if not n:
-        return Model([], {})
+def fit(docs: DataFrame) -> Model:
+    """Fit and calibrate on the candidates of all documents."""
     h = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
-    share = min(1.0, max_docs / n)
     text = F.col("text")
-    sample = docs.select(F.col("text").cast("string").alias("text")).where(text.isNotNull() & (h < share)).select(
-        (h < share * 2 / 3).alias("fit"), "text", F.array_sort(F.concat(*base_spans(text).values())).alias("b"))
-    false = sample.select("fit", F.explode(F.transform(F.filter(candidates(text), lambda c: ~_overlaps(c, F.col("b"))),
+    sought = docs.select(F.col("text").cast("string").alias("text")).where(text.isNotNull()).select(
+        (h < FIT_SHARE).alias("fit"), "text", F.array_sort(F.concat(*base_spans(text).values())).alias("b"))
+    false = sought.select("fit", F.explode(F.transform(F.filter(candidates(text), lambda c: ~_overlaps(c, F.col("b"))),
                                                        lambda c: F.struct(c.alias("c"), F.lit(False).alias("y")))).alias("x"))
-    loose = sample.where(F.size("b") > 0).select("fit", loosened(text, F.col("b")).alias("l")).select(
+    loose = sought.where(F.size("b") > 0).select("fit", loosened(text, F.col("b")).alias("l")).select(
         "fit", F.col("l.text").alias("text"), F.col("l.places").alias("b"))
     # Candidates elsewhere in the rewritten copy are those of the text itself.
     there = F.filter(candidates(text), lambda c: F.exists("b", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
