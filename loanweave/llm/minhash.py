@@ -43,8 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.llm.common import (connected_components, drop_staged, lower_ascii, mix64, span_hashes, stage, ship_package,
-                                  text_bytes, word_spans)
+from loanweave.llm.common import (byte_slices, connected_components, drop_staged, lower_ascii, mix64, return_memory, ship_package,
+                                  short_batches, span_hashes, stage, text_bytes, tidy, word_spans)
 from loanweave.session import scratch_path
 
 SHINGLE = 5
@@ -59,6 +59,9 @@ BATCH = 32
 MISS = 1e-7
 BLOCK = 512
 SMALL_BUCKET = 64
+#: Rows of an Arrow batch, and bytes of texts that are shingled at a time (some ten times that as arrays).
+BATCH_ROWS = 1000
+SLICE_BYTES = 1 << 19
 
 _rng = np.random.default_rng(77)
 _MULT = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,8 +105,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            for part in byte_slices(b, 1, SLICE_BYTES):
                 sets = shingle_sets(part.column(1), k)
                 low = np.stack([_minima(s) for s in sets])
                 key = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(sets), axis=0)
@@ -121,7 +123,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                      pa.array([row.tobytes() for row in sig], pa.binary())],
                     ["doc_id", "n_shingles", "fp1", "fp2", "bands", "sig"])
 
-    return frame.mapInArrow(run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, "
+    return frame.mapInArrow(tidy(run), f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, "
                                  "fp1 bigint, fp2 bigint, bands array<bigint>, sig binary")
 
 
@@ -206,22 +208,21 @@ def prune_pairs(pairs: DataFrame, docs: _Bucketed, percent: int) -> DataFrame:
 
     both = _with_both(pairs, docs, "sig", "n_shingles").where(
         f"100 * least(n_shingles_a, n_shingles_b) >= {percent} * greatest(n_shingles_a, n_shingles_b)")
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, pairs.schema)
+    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(tidy(run), pairs.schema)
 
 
 def verify_pairs(pairs: DataFrame, docs: _Bucketed, k: int, percent: int) -> DataFrame:
     """Pairs whose full shingle sets are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            for part in (p for q in byte_slices(b, 2, SLICE_BYTES) for p in byte_slices(q, 3, SLICE_BYTES)):
                 ok = []
                 for x, y in zip(shingle_sets(part.column("text_a"), k), shingle_sets(part.column("text_b"), k)):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     ok.append(len(x) > 0 and 100 * both >= percent * (len(x) + len(y) - both))
                 yield part.select(["a", "b"]).filter(pa.array(ok))
 
-    return _with_both(pairs, docs, "text").select("a", "b", "text_a", "text_b").mapInArrow(run, pairs.schema)
+    return _with_both(pairs, docs, "text").select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), pairs.schema)
 
 
 def _confirmed(pairs: DataFrame, docs: _Bucketed, k: int, percent: int) -> DataFrame:
@@ -311,6 +312,8 @@ def _block_links(members: DataFrame, docs: _Bucketed, k: int, percent: int) -> D
                     if 100 * both >= percent * (n[i] + n[m] - both):
                         root[max(a, b)] = min(a, b)
                         found.append((min(x[i], x[m]), max(x[i], x[m])))
+        del sets, sig, bands, survivors
+        return_memory()
         return pa.table({"a": pa.array([f[0] for f in found], t["x"].type),
                          "b": pa.array([f[1] for f in found], t["x"].type)})
 
@@ -320,6 +323,11 @@ def _block_links(members: DataFrame, docs: _Bucketed, k: int, percent: int) -> D
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     ship_package(docs.sparkSession)
+    with short_batches(docs.sparkSession, BATCH_ROWS):  # all Python runs in jobs that end here
+        return _near_duplicates(docs, k, percent)
+
+
+def _near_duplicates(docs: DataFrame, k: int, percent: int) -> DataFrame:
     sigs = stage(signatures(docs, k), "minhash_sigs")
     usable = sigs.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("fp1", "fp2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"))
