@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +39,9 @@ def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
 
 
 def write_layout(df: DataFrame, path: str, key: str = "loan_id", order: tuple[str, ...] = ("published_at", "id"),
-                 buckets: int | None = None) -> int:
-    """Write ``df`` under ``path``; returns the number of buckets.  ``path`` must be new."""
+                 buckets: int | None = None, parts: Iterable[DataFrame] | None = None) -> int:
+    """Write ``df`` under ``path``; returns the number of buckets.  ``path`` must be new.
+    ``parts``: the rows of ``df`` split by key; files behind a part may go when the next is drawn."""
     spark = df.sparkSession
     n = buckets or bucket_count(df)
     versions = df.groupBy(key).agg(F.count("*").alias("n"))
@@ -47,17 +49,18 @@ def write_layout(df: DataFrame, path: str, key: str = "loan_id", order: tuple[st
     limit = max(1, int(HOT_SHARE * total / n))
     hot = [r[0] for r in versions.where((F.col("n") > limit) & F.col(key).isNotNull()).select(key).collect()]  # under n / HOT_SHARE keys
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    calm = df.where(~F.coalesce(is_hot, F.lit(False)))
+    if hot:  # first, while all of ``df`` can be read
+        (df.where(is_hot).repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+         .write.parquet(f"{path}/hot"))
     name = _table(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    parts = min(MOST_PARTS, bucket_count(df, PART_BYTES))
-    for i in range(parts):
-        part = calm.where(F.pmod(F.xxhash64(key), F.lit(parts)) == i) if parts > 1 else calm
-        (part.repartition(n, key).write.mode("append").option("path", f"{path}/calm").option("compression", "zstd")
+    if parts is None:
+        n_parts = min(MOST_PARTS, bucket_count(df, PART_BYTES))
+        parts = [df.where(F.pmod(F.xxhash64(key), F.lit(n_parts)) == i) for i in range(n_parts)] if n_parts > 1 else [df]
+    for part in parts:
+        (part.where(~F.coalesce(is_hot, F.lit(False))).repartition(n, key)
+         .write.mode("append").option("path", f"{path}/calm").option("compression", "zstd")
          .bucketBy(n, key).sortBy(key, *order).format("parquet").saveAsTable(name))
-    if hot:
-        (df.where(is_hot).repartitionByRange(key, *order).sortWithinPartitions(key, *order)
-         .write.parquet(f"{path}/hot"))
     files.write_new(spark, f"{path}/{LAYOUT}", json.dumps(
         {"key": key, "order": list(order), "buckets": n, "hot": bool(hot), "schema": json.loads(df.schema.json())}))
     return n
