@@ -63,7 +63,9 @@ def test_distinct_rows_are_told_apart_before_the_key_is_hashed(spark):
     df = QUERIES["original_installment_observed"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
     at = next(i for i, line in enumerate(plan) if "Aggregate [" in line)
-    assert any("sha2(" in line for line in plan[:at])
+    grouped = plan[at].split("], [")[0]
+    assert "_key#" in grouped and "original_installment_uuid" not in grouped
+    assert any("sha2(" in line for line in plan[:at + 1])
     keyed = TB.PAYLOAD_TABLES["original_installment"]
     assert keyed.distinct and df.columns == list(keyed.output)
     assert df.count() == df.distinct().count()

@@ -41,7 +41,10 @@ def summarise(text: str) -> dict:
             pushed = re.search(r"PushedFilters: \[(.*)\]", block)
             schema = re.search(r"ReadSchema: struct<(.*)>", block)
             table = os.path.basename(loc.group(1).split(",")[0]) if loc else "?"
-            width = len(re.findall(r"(?:^|,)(\w+):", schema.group(1))) if schema else 0
+            columns = schema.group(1) if schema else ""
+            while "<" in columns:  # fields inside a column are no columns
+                columns = re.sub(r"<[^<>]*>", "", columns) if re.search(r"<[^<>]*>", columns) else columns.replace("<", "")
+            width = len(re.findall(r"(?:^|,)(\w+):", columns))
             scans.append((table, pushed.group(1) if pushed else "", width))
     return {
         "exchanges": sum(1 for n in names if n == "Exchange"),
